@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,12 +30,23 @@ TABLES = T.ArrayType(
 )
 
 _SPACES = re.compile(r"\s{2,}|[\r\n]")
-_MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534  # limits of the HTML standard
-_SKIPPED = {"script", "style"}
+# Span limits of the HTML standard, and elements that are never closed.
+_MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)"  # comment
+    r"|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)"  # raw text, never shown
+    r"|<(/?)([a-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"  # end mark, tag, attributes
+    r"|([^<]+|<)",  # text
+    re.I | re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"']+)""")
+
 
 class _Cell:
+    __slots__ = ("head", "across", "down", "texts", "links")
+
     def __init__(self, head: bool, across: int, down: int):
         self.head, self.across, self.down = head, across, down
         self.texts: list[str] = []
@@ -52,84 +63,83 @@ class _Cell:
 class _Table:
     def __init__(self):
         self.rows: list[tuple[bool, list[_Cell]]] = []  # (stands in a thead, cells)
-        self.in_head = False
-        self.row_open = self.cell_open = False
+        self.in_head = self.row_open = self.cell_open = False
 
+    def start(self, tag: str, attrs: str) -> None:
+        if tag in ("thead", "tbody", "tfoot"):
+            self.in_head, self.row_open, self.cell_open = tag == "thead", False, False
+        elif tag == "tr" or not self.row_open:
+            self.rows.append((self.in_head, []))
+            self.row_open, self.cell_open = True, False
+        if tag in ("td", "th"):
+            across = down = 1
+            if "span" in attrs.lower():
+                spans = _attributes(attrs)
+                across, down = _span(spans, "colspan", _MAX_COLSPAN), _span(spans, "rowspan", _MAX_ROWSPAN)
+            self.rows[-1][1].append(_Cell(tag == "th", across, down))
+            self.cell_open = True
+
+    def end(self, tag: str) -> None:
+        self.cell_open = False
+        if tag not in ("td", "th"):
+            self.row_open = False
+        if tag in ("thead", "tbody", "tfoot"):
+            self.in_head = False
 
-def _span(attrs: dict, name: str, limit: int) -> int:
-    digits = re.match(r"\s*(\d+)", attrs.get(name) or "")
-    return min(max(int(digits[1]), 1), limit) if digits else 1
 
+def _attributes(attrs: str) -> dict[str, str]:
+    return {name.lower(): unescape(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(attrs)}
 
-class TableParser(HTMLParser):
-    """Collects the tables of one page, nested ones included, in document order."""
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.tables: list[_Table] = []
-        self._open: list[_Table] = []
-        self._hidden: list[str] = []  # open tags inside an element that is not displayed
-
-    def handle_starttag(self, tag, attrs):
-        attrs = dict(attrs)
-        if self._hidden:
-            if tag not in _VOID:
-                self._hidden.append(tag)
-            return
-        style = re.sub(r"\s", "", attrs.get("style") or "").lower()
-        if tag in _SKIPPED or "display:none" in style:
+def _span(attrs: dict[str, str], name: str, limit: int) -> int:
+    digits = re.match(r"\s*(\d+)", attrs.get(name, ""))
+    return min(max(int(digits[1]), 1), limit) if digits else 1
+
+
+_PARTS = {"thead", "tbody", "tfoot", "tr", "td", "th"}
+
+
+def _tables(html: str) -> list[_Table]:
+    """The tables of a page, nested ones included, in document order."""
+    tables: list[_Table] = []
+    around: list[_Table] = []  # open tables, innermost last
+    hidden: list[str] = []  # open tags of an element that is not displayed
+
+    def cells() -> list[_Cell]:
+        return [t.rows[-1][1][-1] for t in around if t.cell_open]
+
+    for token in _TOKEN.finditer(html):
+        end, tag, attrs, words = token.groups()
+        if words is not None:
+            if around and not hidden:
+                for cell in cells():
+                    cell.texts.append(unescape(words))
+            continue
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if end:
+            if hidden:
+                if tag in hidden:
+                    while hidden.pop() != tag:
+                        pass
+            elif tag in _PARTS and around:
+                around[-1].end(tag)
+            elif tag == "table" and around:
+                around.pop()
+        elif hidden or attrs and "display" in attrs and "display:none" in re.sub(r"\s", "", attrs).lower():
             if tag not in _VOID:
-                self._hidden.append(tag)
-            return
-        if tag == "table":
-            table = _Table()
-            self.tables.append(table)
-            self._open.append(table)
-        if not self._open:
-            return
-        table = self._open[-1]
-        if tag in ("thead", "tbody", "tfoot"):
-            table.in_head, table.row_open, table.cell_open = tag == "thead", False, False
-        elif tag == "tr":
-            table.rows.append((table.in_head, []))
-            table.row_open, table.cell_open = True, False
-        elif tag in ("td", "th"):
-            if not table.row_open:
-                table.rows.append((table.in_head, []))
-                table.row_open = True
-            across, down = _span(attrs, "colspan", _MAX_COLSPAN), _span(attrs, "rowspan", _MAX_ROWSPAN)
-            table.rows[-1][1].append(_Cell(tag == "th", across, down))
-            table.cell_open = True
-        elif tag == "a" and attrs.get("href") is not None:
-            for cell in self._cells():
-                cell.links.append(attrs["href"].strip())
-
-    def handle_endtag(self, tag):
-        if self._hidden:
-            if tag in self._hidden:
-                while self._hidden.pop() != tag:
-                    pass
-            return
-        if not self._open:
-            return
-        table = self._open[-1]
-        if tag == "table":
-            self._open.pop()
-        elif tag in ("thead", "tbody", "tfoot"):
-            table.in_head = table.row_open = table.cell_open = False
-        elif tag == "tr":
-            table.row_open = table.cell_open = False
-        elif tag in ("td", "th"):
-            table.cell_open = False
-
-    def handle_data(self, data):
-        if not self._hidden:
-            for cell in self._cells():
-                cell.texts.append(data)
-
-    def _cells(self) -> Iterator[_Cell]:
-        """The open cell, and those around it when tables are nested."""
-        return (t.rows[-1][1][-1] for t in self._open if t.cell_open)
+                hidden.append(tag)
+        elif tag == "table":
+            tables.append(_Table())
+            around.append(tables[-1])
+        elif around and tag in _PARTS:
+            around[-1].start(tag, attrs)
+        elif around and tag == "a":
+            href = _attributes(attrs).get("href")
+            for cell in cells() if href is not None else ():
+                cell.links.append(href.strip())
+    return tables
 
 
 def _grid(rows: list[list[_Cell]]) -> list[list[_Cell]]:
@@ -195,10 +205,7 @@ def parse_tables(html: str, with_links: bool = False) -> list[dict]:
     With links, cells also carry their link targets, cell texts keep a space between their parts
     and the first cell of a row loses the words that stand for a flag image.
     """
-    parser = TableParser()
-    parser.feed(html)
-    parser.close()
-    return [_as_record(t, with_links) for t in parser.tables]
+    return [_as_record(t, with_links) for t in _tables(html)]
 
 
 def extract_tables(pages: DataFrame, keep: Sequence[str], with_links: bool = False) -> DataFrame:
@@ -217,14 +224,16 @@ def extract_tables(pages: DataFrame, keep: Sequence[str], with_links: bool = Fal
         for batch in batches:
             found, errors = [], []
             for html in batch.column("html").to_pylist():
+                tables, error = [], None
                 try:
                     if html is None:
-                        raise ValueError("no page stored for this URL")
-                    found.append(parse_tables(html, with_links))
-                    errors.append(None)
+                        error = "no page stored for this URL"
+                    else:
+                        tables = parse_tables(html, with_links)
                 except Exception as problem:  # one bad page must not end the run
-                    found.append([])
-                    errors.append(f"{type(problem).__name__}: {problem}")
+                    error = f"{type(problem).__name__}: {problem}"
+                found.append(tables)
+                errors.append(error)
             arrays = [batch.column(c) for c in keep]
             arrays += [pa.array(found, tables_type), pa.array(errors, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "tables", "error"])
