@@ -23,9 +23,18 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def __call__(self, sql: str) -> DataFrame:
+    def __call__(self, sql: str, spread: bool = False) -> DataFrame:
         used = {name: getattr(self, name) for name in TABLES if "{" + name + "}" in sql}
-        return self.spark.sql(sql, **used)
+        return self.spark.sql(sql, **{name: self._spread(df) if spread else df for name, df in used.items()})
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """A table that is read by fewer tasks than there are cores, over all of them.
+
+        For queries that make much work of a small file; a large table has splits enough and is
+        left alone.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def duck(sql: str) -> str:

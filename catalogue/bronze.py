@@ -78,7 +78,7 @@ def _page(cells: dict[str, str]) -> str:
 
 def _stored(t: Tables, kind: str, cells: dict[str, str], season: int, sprint: str, number: int | None = None):
     """The session plan for one kind of page, and a store with those pages and stale copies."""
-    races = t(f"SELECT {season} AS season, {_race_url(season)} AS url, '{sprint}' AS sprint FROM {{orders}}")
+    races = t(f"SELECT {season} AS season, {_race_url(season)} AS url, '{sprint}' AS sprint FROM {{orders}}", spread=True)
     plan = weekend.session_plan(races).filter(c("kind") == kind)
     if number:
         plan = plan.filter(c("practice_no") == number)
@@ -90,7 +90,8 @@ def _stored(t: Tables, kind: str, cells: dict[str, str], season: int, sprint: st
         UNION ALL
         SELECT o_orderkey * 2 + 1, replace({_race_url(season)}, 'race-result', '{path}'), '<h1>Stale</h1><table><tr><td>1</td></tr></table>',
                '2024-04-01T00:00:00' FROM {{orders}} WHERE o_orderstatus = 'F'
-        """
+        """,
+        spread=True,
     )
     return plan, pages
 
@@ -271,7 +272,7 @@ def table_round_trip(t: Tables):
     columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
     heads = "".join(f"<th>{n.upper()}</th>" for n in columns)
     cells = [x for n in columns for x in (F.lit("<td>"), c(n).cast("string"), F.lit("</td>"))]
-    pages = t.lineitem.select(
+    pages = t("SELECT * FROM {lineitem}", spread=True).select(
         F.concat(F.lit(f"<table><tr>{heads}</tr><tr>"), *cells, F.lit("</tr></table>")).alias("html")
     )
     table = F.get("tables", F.lit(0))
@@ -306,7 +307,8 @@ def _index_pages(t: Tables):
                'NO results available {sprint_table.format("Ann")}' FROM {{orders}}
         UNION ALL SELECT o_orderkey * 10 + 3, {url} || '/' || (o_orderkey * 10 + 3) || '/gp-3/sprint-grid', '2024-05-01T00:00:00',
                '{sprint_table.format("")}' FROM {{orders}}
-        """
+        """,
+        spread=True,
     )
 
 

@@ -19,16 +19,14 @@ from racelake.operators.shape import conform
 from racelake.plans import weekend
 from racelake.plans.layouts import LAYOUTS, is_season_index, is_sprint_table, normal_headers
 from racelake.sources import html
-from racelake.sources.pages import locate
+from racelake.sources.pages import read_pages
 
 _STRICT = ("race-result", "sprint-results")  # kinds whose missing table is an error
 
 
 def parse(plan: DataFrame, pages: DataFrame) -> DataFrame:
     """Planned session pages with their tables: one row per plan row, failures included."""
-    located = locate(plan, pages).withColumn("event_title", html.title(F.col("html")))
-    keep = ["season", "race_url", "kind", "practice_no", "page_url", "scraped_at_utc", "event_title"]
-    return html.extract_tables(located, keep)
+    return read_pages(plan, pages, {"event_title": html.title})
 
 
 def _first_table(recognised) -> Column:
@@ -182,10 +180,9 @@ def shows_sprint(no_results: Column) -> Column:
 
 def sprint_races(races: DataFrame, pages: DataFrame) -> DataFrame:
     """Race URLs that have a page among the sprint kinds, and whether any shows results."""
-    located = locate(weekend.sprint_plan(races), pages).filter(F.col("html").isNotNull())
-    marked = located.withColumn("no_results", text.mentions(F.col("html"), "no results available"))
-    parsed = html.extract_tables(marked, ["race_url", "no_results"])
-    return parsed.groupBy("race_url").agg(has_any(shows_sprint(F.col("no_results"))).alias("has_sprint"))
+    empty = {"no_results": lambda markup: text.mentions(markup, "no results available")}
+    parsed = read_pages(weekend.sprint_plan(races), pages, empty)
+    return parsed.filter(F.col("error").isNull()).groupBy("race_url").agg(has_any(shows_sprint(F.col("no_results"))).alias("has_sprint"))
 
 
 def list_races(pages: DataFrame) -> DataFrame:

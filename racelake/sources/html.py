@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from racelake.functions import links as urls
 from racelake.functions.text import null_if_blank
@@ -29,116 +28,158 @@ TABLES = T.ArrayType(
     )
 )
 
+_TEXTS = pa.list_(pa.string())
+_ARROW_ROW = pa.struct([("cells", _TEXTS), ("links", pa.list_(_TEXTS))])
+_ARROW_TABLES = pa.list_(pa.struct([("headers", _TEXTS), ("rows", pa.list_(_ARROW_ROW))]))
+
 _SPACES = re.compile(r"\s{2,}|[\r\n]")
 # Span limits of the HTML standard, and elements that are never closed.
 _MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
+_ATTRIBUTES = r"""((?:[^<>"']|"[^"]*"|'[^']*')*+)"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"  # comment
     r"|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)"  # raw text, never shown
-    r"|<(/?)([a-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"  # end mark, tag, attributes
-    r"|([^<]+|<)",  # text
+    rf"|<(/?)(table|thead|tbody|tfoot|tr|td|th)\b{_ATTRIBUTES}>",
     re.I | re.S,
 )
+_TAG = re.compile(rf"<(/?)([a-z][^\s<>/]*){_ATTRIBUTES}>", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"']+)""")
+_HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 
 
-class _Cell:
-    __slots__ = ("head", "across", "down", "texts", "links")
+def _attributes(attrs: str) -> dict[str, str]:
+    return {name.lower(): unescape(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(attrs)}
 
-    def __init__(self, head: bool, across: int, down: int):
-        self.head, self.across, self.down = head, across, down
-        self.texts: list[str] = []
-        self.links: list[str] = []
 
-    def text(self, spaced: bool) -> str | None:
-        if spaced:
-            joined = " ".join(t.strip() for t in self.texts if t.strip())
-        else:
-            joined = "".join(self.texts)
-        return _SPACES.sub(" ", joined.strip()) or None
+def _span(attrs: dict[str, str], name: str, limit: int) -> int:
+    digits = re.match(r"\s*(\d+)", attrs.get(name, ""))
+    return min(max(int(digits[1]), 1), limit) if digits else 1
+
+
+def _shown(markup: str) -> str:
+    """Markup without the elements that are not displayed."""
+    kept, hidden, at = [], [], 0
+    for tag in _TAG.finditer(markup):
+        end, name, attrs = tag[1], tag[2].lower(), tag[3]
+        if not hidden:
+            kept.append(markup[at : tag.start()])
+            if not end and name not in _VOID and _HIDDEN.search(attrs):
+                hidden.append(name)
+            else:
+                kept.append(tag[0])
+        elif end:
+            if name in hidden:
+                while hidden.pop() != name:
+                    pass
+        elif name not in _VOID:
+            hidden.append(name)
+        at = tag.end()
+    return "".join(kept) + ("" if hidden else markup[at:])
+
+
+class _Cell:
+    """A cell, as the markup between its tags."""
+
+    __slots__ = ("head", "across", "down", "markup")
+
+    def __init__(self, tag: str, attrs: str):
+        self.head = tag == "th"
+        self.across = self.down = 1
+        self.markup = ""
+        if "span" in attrs.lower():
+            spans = _attributes(attrs)
+            self.across = _span(spans, "colspan", _MAX_COLSPAN)
+            self.down = _span(spans, "rowspan", _MAX_ROWSPAN)
+
+    def text(self) -> str | None:
+        """All text of the cell run together."""
+        text = self.markup
+        if "<" in text:
+            text = _TAG.sub("", _shown(text) if _HIDDEN.search(text) else text)
+        if "&" in text:
+            text = unescape(text)
+        return _SPACES.sub(" ", text.strip()) or None
+
+    def spaced_text(self, without: str | None = None) -> str | None:
+        """The pieces of text of the cell with a space in between; some pieces may be left out."""
+        pieces = (unescape(x).strip() for x in _TAG.sub("\0", _shown(self.markup)).split("\0"))
+        return _SPACES.sub(" ", " ".join(x for x in pieces if x and not (without and without in x))) or None
+
+    def links(self) -> list[str]:
+        anchors = (_attributes(t[3]) for t in _TAG.finditer(self.markup) if not t[1] and t[2].lower() == "a")
+        return [a["href"].strip() for a in anchors if "href" in a]
 
 
 class _Table:
     def __init__(self):
         self.rows: list[tuple[bool, list[_Cell]]] = []  # (stands in a thead, cells)
-        self.in_head = self.row_open = self.cell_open = False
+        self.in_head = self.hidden_part = self.row_open = False
+        self.cell: _Cell | None = None  # the open one
+        self.spans = False
 
     def start(self, tag: str, attrs: str) -> None:
-        if tag in ("thead", "tbody", "tfoot"):
-            self.in_head, self.row_open, self.cell_open = tag == "thead", False, False
-        elif tag == "tr" or not self.row_open:
-            self.rows.append((self.in_head, []))
-            self.row_open, self.cell_open = True, False
+        hidden = _HIDDEN.search(attrs) is not None
+        self.cell = None
         if tag in ("td", "th"):
-            across = down = 1
-            if "span" in attrs.lower():
-                spans = _attributes(attrs)
-                across, down = _span(spans, "colspan", _MAX_COLSPAN), _span(spans, "rowspan", _MAX_ROWSPAN)
-            self.rows[-1][1].append(_Cell(tag == "th", across, down))
-            self.cell_open = True
+            if not self.row_open:
+                self._open_row(False)
+            self.cell = _Cell(tag, attrs)
+            self.spans = self.spans or self.cell.across > 1 or self.cell.down > 1
+            if not hidden:
+                self._cells.append(self.cell)
+        elif tag == "tr":
+            self._open_row(hidden)
+        else:
+            self.in_head, self.hidden_part, self.row_open = tag == "thead", hidden, False
+
+    def _open_row(self, hidden: bool) -> None:
+        self._cells: list[_Cell] = []
+        self.row_open = True
+        if not hidden and not self.hidden_part:
+            self.rows.append((self.in_head, self._cells))
 
     def end(self, tag: str) -> None:
-        self.cell_open = False
+        self.cell = None
         if tag not in ("td", "th"):
             self.row_open = False
-        if tag in ("thead", "tbody", "tfoot"):
-            self.in_head = False
-
-
-def _attributes(attrs: str) -> dict[str, str]:
-    return {name.lower(): unescape(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(attrs)}
-
-
-def _span(attrs: dict[str, str], name: str, limit: int) -> int:
-    digits = re.match(r"\s*(\d+)", attrs.get(name, ""))
-    return min(max(int(digits[1]), 1), limit) if digits else 1
-
-
-_PARTS = {"thead", "tbody", "tfoot", "tr", "td", "th"}
+            if tag != "tr":
+                self.in_head = self.hidden_part = False
 
 
 def _tables(html: str) -> list[_Table]:
     """The tables of a page, nested ones included, in document order."""
     tables: list[_Table] = []
     around: list[_Table] = []  # open tables, innermost last
-    hidden: list[str] = []  # open tags of an element that is not displayed
-
-    def cells() -> list[_Cell]:
-        return [t.rows[-1][1][-1] for t in around if t.cell_open]
-
+    at = 0
     for token in _TOKEN.finditer(html):
-        end, tag, attrs, words = token.groups()
-        if words is not None:
-            if around and not hidden:
-                for cell in cells():
-                    cell.texts.append(unescape(words))
-            continue
+        if around:
+            markup = html[at : token.start()]
+            if markup:
+                for table in around:
+                    if table.cell is not None:
+                        table.cell.markup += markup
+        at = token.end()
+        end, tag, attrs = token.groups()
         if tag is None:
             continue
         tag = tag.lower()
-        if end:
-            if hidden:
-                if tag in hidden:
-                    while hidden.pop() != tag:
-                        pass
-            elif tag in _PARTS and around:
+        if tag == "table":
+            if end:
+                if around:
+                    around.pop()
+            else:
+                around.append(_Table())
+                if not _HIDDEN.search(attrs):
+                    tables.append(around[-1])
+        elif around:
+            if end:
                 around[-1].end(tag)
-            elif tag == "table" and around:
-                around.pop()
-        elif hidden or attrs and "display" in attrs and "display:none" in re.sub(r"\s", "", attrs).lower():
-            if tag not in _VOID:
-                hidden.append(tag)
-        elif tag == "table":
-            tables.append(_Table())
-            around.append(tables[-1])
-        elif around and tag in _PARTS:
-            around[-1].start(tag, attrs)
-        elif around and tag == "a":
-            href = _attributes(attrs).get("href")
-            for cell in cells() if href is not None else ():
-                cell.links.append(href.strip())
+            else:
+                around[-1].start(tag, attrs)
+    if around and around[-1].cell is not None:  # a page cut off inside a cell
+        around[-1].cell.markup += html[at:]
     return tables
 
 
@@ -166,37 +207,40 @@ def _grid(rows: list[list[_Cell]]) -> list[list[_Cell]]:
     return grid
 
 
-def _as_record(table: _Table, with_links: bool) -> dict:
-    rows = [(head, cells) for head, cells in table.rows if cells]
-    tops = [i for i, (head, _) in enumerate(rows) if head]
-    if not tops:  # no head section: the first rows that hold nothing but header cells
-        while len(tops) < len(rows) and all(c.head for c in rows[len(tops)][1]):
-            tops.append(len(tops))
-    grid = _grid([cells for _, cells in rows])
-    top = [grid[i] for i in tops]
-    body = [row for i, row in enumerate(grid) if i not in set(tops)]
-    width = max((len(r) for r in grid), default=0)
-
-    def header(i: int) -> str:
-        parts = []
-        for row in top:
-            cell = row[i] if i < len(row) else None
-            text = cell.text(spaced=with_links) if cell else None
-            if text:
-                parts.append(text)
-        return " ".join(parts)
+def _header_rows(rows: list[tuple[bool, list[_Cell]]]) -> set[int]:
+    """The rows of the head section, or without one the first rows of nothing but header cells."""
+    marked = {i for i, (head, _) in enumerate(rows) if head}
+    if not marked:
+        for i, (_, cells) in enumerate(rows):
+            if not all(c.head for c in cells):
+                break
+            marked.add(i)
+    return marked
+
 
+def _as_record(table: _Table, with_links: bool) -> dict:
+    rows = [row for row in table.rows if row[1]]
+    tops = _header_rows(rows)
+    grid = [cells for _, cells in rows]
+    if table.spans:
+        grid = _grid(grid)
+    width = max(map(len, grid), default=0)
+    headers = [[] for _ in range(width)]
     records = []
-    for row in body:
-        texts = []
-        for n, cell in enumerate(row):
-            if with_links and n == 0:
-                cell.texts = [t for t in cell.texts if "Flag of " not in t]
-            texts.append(cell.text(spaced=with_links))
+    for i, row in enumerate(grid):
+        if i in tops:
+            for header, cell in zip(headers, row):
+                header.append(cell.spaced_text() if with_links else cell.text())
+            continue
+        if with_links:
+            # the words that stand for a flag image are no part of the first cell
+            texts = [cell.spaced_text("Flag of " if n == 0 else None) for n, cell in enumerate(row)]
+        else:
+            texts = [cell.text() for cell in row]
         if any(texts):
-            pad = [None] * (width - len(row))
-            records.append({"cells": texts + pad, "links": [c.links for c in row] if with_links else None})
-    return {"headers": [header(i) for i in range(width)], "rows": records}
+            links = [cell.links() for cell in row] if with_links else None
+            records.append({"cells": texts + [None] * (width - len(row)), "links": links})
+    return {"headers": [" ".join(filter(None, parts)) for parts in headers], "rows": records}
 
 
 def parse_tables(html: str, with_links: bool = False) -> list[dict]:
@@ -218,24 +262,19 @@ def extract_tables(pages: DataFrame, keep: Sequence[str], with_links: bool = Fal
         [narrow.schema[c] for c in keep]
         + [T.StructField("tables", TABLES), T.StructField("error", T.StringType())]
     )
-    tables_type = to_arrow_type(TABLES)
-
     def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, errors = [], []
             for html in batch.column("html").to_pylist():
                 tables, error = [], None
                 try:
-                    if html is None:
-                        error = "no page stored for this URL"
-                    else:
-                        tables = parse_tables(html, with_links)
+                    tables = parse_tables(html, with_links)
                 except Exception as problem:  # one bad page must not end the run
                     error = f"{type(problem).__name__}: {problem}"
                 found.append(tables)
                 errors.append(error)
             arrays = [batch.column(c) for c in keep]
-            arrays += [pa.array(found, tables_type), pa.array(errors, pa.string())]
+            arrays += [pa.array(found, _ARROW_TABLES), pa.array(errors, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "tables", "error"])
 
     return narrow.mapInArrow(read_batches, schema)

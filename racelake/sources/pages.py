@@ -1,28 +1,46 @@
-"""Stored pages and the lookup of the pages a session plan asks for."""
+"""Stored pages and the lookup of the pages a session plan asks for.
+
+A page store has ``page_id`` (unique), ``url``, ``html`` and ``scraped_at_utc``, and may hold
+several copies of a URL, of which the newest counts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from racelake.sources import html
+
+NOT_STORED = "no page stored for this URL"
+
 
-def newest_pages(wanted: DataFrame, pages: DataFrame) -> DataFrame:
-    """The newest stored copy of each wanted URL, as ``page_url`` and ``page_id``.
+def newest_copies(plan: DataFrame, pages: DataFrame) -> DataFrame:
+    """The plan with the ``page_id`` of the newest stored copy of its ``page_url``, null without one.
 
-    Only the narrow columns of the page store are read here; copies are reduced on the map side.
+    Reads only the narrow columns of the store; copies of a URL are reduced on the map side.
     """
     narrow = pages.select(F.col("url").alias("page_url"), "scraped_at_utc", "page_id")
-    asked = narrow.join(wanted.select("page_url").distinct(), "page_url", "left_semi")
+    asked = narrow.join(plan.select("page_url"), "page_url", "left_semi")
     newest = F.max(F.struct("scraped_at_utc", "page_id")).alias("_newest")
-    return asked.groupBy("page_url").agg(newest).select("page_url", F.col("_newest.page_id").alias("page_id"))
+    ids = asked.groupBy("page_url").agg(newest).select("page_url", F.col("_newest.page_id").alias("page_id"))
+    return plan.join(ids, "page_url", "left")
 
 
-def locate(plan: DataFrame, pages: DataFrame) -> DataFrame:
-    """Plan rows with the ``html`` and ``scraped_at_utc`` of their page, null where none is stored.
+def read_pages(
+    plan: DataFrame, pages: DataFrame, derive: dict[str, Callable[[Column], Column]], with_links: bool = False
+) -> DataFrame:
+    """Plan rows with the tables of their page; rows whose page is missing say so in ``error``.
 
-    ``plan`` has a ``page_url``; ``pages`` has ``page_id`` (unique), ``url``, ``html`` and
-    ``scraped_at_utc`` and may hold several copies of a URL, of which the newest counts. The
-    markup itself moves at most once, in the last join, whose key has no repeats.
+    ``derive`` adds columns computed from the markup. The markup itself is only joined to the list of
+    wanted page ids: it stays where it is read while that list is small enough to broadcast, and
+    moves once, by a key without repeats, when it is not. What follows needs no shuffle.
     """
-    located = plan.join(newest_pages(plan, pages), "page_url", "left")
-    return located.join(pages.select("page_id", "html", "scraped_at_utc"), "page_id", "left").drop("page_id")
+    wanted = newest_copies(plan, pages)
+    stored = pages.select("page_id", "html", "scraped_at_utc").join(wanted.filter(F.col("page_id").isNotNull()), "page_id")
+    described = stored.withColumns({name: rule(F.col("html")) for name, rule in derive.items()})
+    keep = [*plan.columns, "scraped_at_utc", *derive]
+    read = html.extract_tables(described, keep, with_links)
+    missing = wanted.filter(F.col("page_id").isNull()).select(*plan.columns, F.lit(NOT_STORED).alias("error"))
+    return read.unionByName(missing, allowMissingColumns=True)
