@@ -29,7 +29,7 @@ def confirm(df: DataFrame, flag: str, races: DataFrame | None = None) -> DataFra
     if races is None:
         return update_where(df, None, {flag: F.lit("Y")})
     seen = races.groupBy("race_id").agg(F.lit("Y").alias("_seen"))
-    marked = attach(df, seen, ["race_id"], [c for c in df.columns if c != "race_id"][:4])
+    marked = attach(df, seen, ["race_id"])
     return update_where(marked, F.col("_seen") == "Y", {flag: F.lit("Y")}).drop("_seen")
 
 
@@ -58,8 +58,7 @@ def emptied(df: DataFrame) -> DataFrame:
 def correct(df: DataFrame, corrections: DataFrame, keys: Sequence[str], column: str, delta: str) -> DataFrame:
     """Add keyed corrections to a numeric column; several corrections of one key add up."""
     sums = corrections.groupBy(*keys).agg(F.sum(delta).alias("_delta"))
-    spread = [c for c in df.columns if c not in keys][:4]
-    found = attach(df, sums, keys, spread)
+    found = attach(df, sums, keys)
     kind = dict(df.dtypes)[column]
     fixed = (F.col(column) + F.coalesce(F.col("_delta"), F.lit(0))).cast(kind)
     return found.withColumn(column, fixed).select(*df.columns)

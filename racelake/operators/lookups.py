@@ -24,18 +24,18 @@ def attach(
     rows: DataFrame,
     per_key: DataFrame,
     keys: Sequence[str],
-    spread: Sequence[str],
+    spread: Sequence[str] = (),
     null_safe: bool = False,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join rows to a summary that has one row per key, safe for keys of any size.
 
     The rows of a key are spread over ``salts`` shuffle partitions by a hash of the ``spread``
-    columns (columns that differ within a key), and the small summary row is repeated for each.
-    As the summary is shuffled again by key *and* salt, both join inputs are plain shuffles, which
+    columns (a few that differ within a key, all columns by default), and the small summary row is
+    repeated for each. As the summary is shuffled again by key *and* salt, both join inputs are plain shuffles, which
     is what adaptive execution needs to split a still too large partition by its size.
     """
-    salt = F.pmod(F.xxhash64(*spread) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*(spread or rows.columns)) + F.spark_partition_id(), F.lit(salts)).cast("int")
     left = rows.withColumn("_salt", salt)
     right = per_key.select(
         *(F.col(k).alias(f"_key_{k}") for k in keys),
@@ -54,8 +54,7 @@ def attach(
 def carry_flag(rows: DataFrame, known: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Rows with the processing flag of the known table: ``Y`` where a known row has it, else ``N``."""
     done = known.groupBy(*keys).agg(F.max(F.when(F.col(flag) == "Y", "Y")).alias("_done"))
-    spread = [c for c in rows.columns if c not in keys][:4] or list(keys)
-    carried = attach(rows.drop(flag), done, keys, [c for c in spread if c != flag])
+    carried = attach(rows.drop(flag), done, keys)
     return carried.withColumn(flag, rules.kept_flag(F.col("_done"))).drop("_done")
 
 

@@ -189,6 +189,6 @@ def list_races(pages: DataFrame) -> DataFrame:
     """The races table of all stored season index pages, sprints detected from their own pages."""
     races = season_races(pages)
     sprints = sprint_races(races, pages).withColumnRenamed("race_url", "url")
-    flagged = attach(races, sprints, ["url"], ["season", "gp", "date_text"])
+    flagged = attach(races, sprints, ["url"])
     sprint = F.when(F.coalesce("has_sprint", F.lit(False)), "Y").otherwise("N")
     return flagged.withColumn("sprint", sprint).select(*races.columns)
