@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racelake.fixed import ERA_SEASONS, LATE_SCRATCH
-from racelake.operators.lookups import attach
+from racelake.operators.lookups import attach, lacking
 
 
 def update_where(df: DataFrame, condition: Column | None, changes: Mapping[str, Column]) -> DataFrame:
@@ -40,7 +40,7 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 def delete_keys(df: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows whose key is not listed; rows without key stay."""
-    return df.join(doomed.select(*keys), list(keys), "left_anti")
+    return lacking(df, doomed, keys)
 
 
 def delete_keys_everywhere(

@@ -17,23 +17,18 @@ from pyspark.sql import functions as F
 
 from racelake.functions import rules
 
-SALTS = 8
+SALTS = 4
 
 
-def attach(
-    rows: DataFrame,
-    per_key: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str] = (),
-    null_safe: bool = False,
-    salts: int = SALTS,
+def _spread_join(
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str, spread: Sequence[str], null_safe: bool, salts: int
 ) -> DataFrame:
-    """Left join rows to a summary that has one row per key, safe for keys of any size.
+    """Join rows to a table with one row per key so that no key has to fit in one task.
 
-    The rows of a key are spread over ``salts`` shuffle partitions by a hash of the ``spread``
-    columns (a few that differ within a key, all columns by default), and the small summary row is
-    repeated for each. As the summary is shuffled again by key *and* salt, both join inputs are plain shuffles, which
-    is what adaptive execution needs to split a still too large partition by its size.
+    The rows of a key are spread over ``salts`` shuffle partitions by a hash of the ``spread`` columns
+    (all columns by default), and the one row of the other table is repeated for each. As that table
+    is shuffled by key *and* salt, not just grouped by key, both join inputs are plain shuffles, which
+    is what adaptive execution needs to split a partition that is still too large by its size.
     """
     salt = F.pmod(F.xxhash64(*(spread or rows.columns)) + F.spark_partition_id(), F.lit(salts)).cast("int")
     left = rows.withColumn("_salt", salt)
@@ -48,7 +43,29 @@ def attach(
         return mine.eqNullSafe(theirs) if null_safe else mine == theirs
 
     on = reduce(and_, map(same, keys), F.col("_salt") == F.col("_key_salt"))
-    return left.join(right, on, "left").drop("_salt", "_key_salt", *(f"_key_{k}" for k in keys))
+    return left.join(right, on, how).drop("_salt", "_key_salt", *(f"_key_{k}" for k in keys))
+
+
+def attach(
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], spread: Sequence[str] = (),
+    null_safe: bool = False, salts: int = SALTS,
+) -> DataFrame:
+    """All rows with the columns of a summary that has one row per key."""
+    return _spread_join(rows, per_key, keys, "left", spread, null_safe, salts)
+
+
+def having(
+    rows: DataFrame, listed: DataFrame, keys: Sequence[str], null_safe: bool = False, spread: Sequence[str] = ()
+) -> DataFrame:
+    """The rows whose key is listed."""
+    return _spread_join(rows, listed.select(*keys).distinct(), keys, "left_semi", spread, null_safe, SALTS)
+
+
+def lacking(
+    rows: DataFrame, listed: DataFrame, keys: Sequence[str], null_safe: bool = False, spread: Sequence[str] = ()
+) -> DataFrame:
+    """The rows whose key is not listed."""
+    return _spread_join(rows, listed.select(*keys).distinct(), keys, "left_anti", spread, null_safe, SALTS)
 
 
 def carry_flag(rows: DataFrame, known: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
@@ -64,17 +81,13 @@ def unseen(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     The known table may be far larger than the rows: it is first cut down to the rows' own keys,
     by a broadcast of these while they are small and by one shuffle of its key columns otherwise.
     """
-    wanted = rows.select(*(F.col(k).alias(f"_w_{k}") for k in keys)).distinct()
-    match = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]
-    present = known.select(*keys).join(wanted, reduce(and_, match), "left_semi").distinct()
-    present = present.select(*(F.col(k).alias(f"_p_{k}") for k in keys))
-    same = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
-    return rows.join(present, reduce(and_, same), "left_anti")
+    present = having(known.select(*keys), rows, keys, null_safe=True)
+    return lacking(rows, present, keys, null_safe=True)
 
 
 def unprocessed(rows: DataFrame, known: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Rows whose key is not yet flagged ``Y`` in the known table."""
-    return rows.join(known.filter(F.col(flag) == "Y").select(*keys), list(keys), "left_anti")
+    return lacking(rows, known.filter(F.col(flag) == "Y"), keys)
 
 
 class Registered(NamedTuple):

@@ -37,11 +37,12 @@ _SPACES = re.compile(r"\s{2,}|[\r\n]")
 _MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
-_ATTRIBUTES = r"""((?:[^<>"']|"[^"]*"|'[^']*')*+)"""
+_ATTRIBUTES = r"""([^<>"']*+(?:(?:"[^"]*"|'[^']*')[^<>"']*+)*+)"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"  # comment
-    r"|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)"  # raw text, never shown
-    rf"|<(/?)(table|thead|tbody|tfoot|tr|td|th)\b{_ATTRIBUTES}>",
+    rf"<(?:(t[dh])\b{_ATTRIBUTES}>([^<]*+)</t[dh]\s*>"  # a whole cell without markup in it
+    rf"|(/?)(table|thead|tbody|tfoot|tr|td|th)\b{_ATTRIBUTES}>"
+    r"|!--.*?(?:-->|\Z)"  # comment
+    r"|(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z))",  # raw text, never shown
     re.I | re.S,
 )
 _TAG = re.compile(rf"<(/?)([a-z][^\s<>/]*){_ATTRIBUTES}>", re.I)
@@ -88,7 +89,7 @@ class _Cell:
         self.head = tag == "th"
         self.across = self.down = 1
         self.markup = ""
-        if "span" in attrs.lower():
+        if attrs and "span" in attrs.lower():
             spans = _attributes(attrs)
             self.across = _span(spans, "colspan", _MAX_COLSPAN)
             self.down = _span(spans, "rowspan", _MAX_ROWSPAN)
@@ -120,7 +121,7 @@ class _Table:
         self.spans = False
 
     def start(self, tag: str, attrs: str) -> None:
-        hidden = _HIDDEN.search(attrs) is not None
+        hidden = attrs != "" and _HIDDEN.search(attrs) is not None
         self.cell = None
         if tag in ("td", "th"):
             if not self.row_open:
@@ -148,20 +149,29 @@ class _Table:
                 self.in_head = self.hidden_part = False
 
 
+def _add(around: list[_Table], markup: str) -> None:
+    """Add markup to the open cells: the innermost one and, in nested tables, those around it."""
+    for table in around:
+        if table.cell is not None:
+            table.cell.markup += markup
+
+
 def _tables(html: str) -> list[_Table]:
     """The tables of a page, nested ones included, in document order."""
     tables: list[_Table] = []
     around: list[_Table] = []  # open tables, innermost last
     at = 0
     for token in _TOKEN.finditer(html):
-        if around:
-            markup = html[at : token.start()]
-            if markup:
-                for table in around:
-                    if table.cell is not None:
-                        table.cell.markup += markup
+        if around and at < token.start():
+            _add(around, html[at : token.start()])
         at = token.end()
-        end, tag, attrs = token.groups()
+        cell, cell_attrs, words, end, tag, attrs = token.groups()
+        if cell is not None:
+            if around:
+                around[-1].start(cell.lower(), cell_attrs)
+                _add(around, words)
+                around[-1].cell = None
+            continue
         if tag is None:
             continue
         tag = tag.lower()

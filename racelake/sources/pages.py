@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from racelake.operators.lookups import attach
 from racelake.sources import html
 
 NOT_STORED = "no page stored for this URL"
@@ -25,7 +26,7 @@ def newest_copies(plan: DataFrame, pages: DataFrame) -> DataFrame:
     asked = narrow.join(plan.select("page_url"), "page_url", "left_semi")
     newest = F.max(F.struct("scraped_at_utc", "page_id")).alias("_newest")
     ids = asked.groupBy("page_url").agg(newest).select("page_url", F.col("_newest.page_id").alias("page_id"))
-    return plan.join(ids, "page_url", "left")
+    return attach(plan, ids, ["page_url"])
 
 
 def read_pages(
