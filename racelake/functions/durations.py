@@ -20,7 +20,8 @@ def seconds(c: Column) -> Column:
         return F.try_element_at(parts, F.lit(-from_end)).try_cast("double")
 
     total = F.coalesce(part(3), F.lit(0.0)) * 3600 + F.coalesce(part(2), F.lit(0.0)) * 60 + part(1)
-    return F.when(body.rlike(_CLOCK), total)
+    # the guard is added, not wrapped around, so that the text is taken apart once per row
+    return total + F.when(body.rlike(_CLOCK), F.lit(0.0))
 
 
 def clock(secs: Column) -> Column:

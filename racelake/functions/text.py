@@ -11,7 +11,8 @@ NBSP = "\u00a0"
 # Java's \s leaves out the no-break space, which scraped pages are full of.
 WHITE = " \t\n\r\x0b\x0c" + NBSP
 _RUN = r"[\s\u00A0]+"
-_CODE = r"^(.*?)[\s\u00A0]*([A-Z]{3})$"
+_CODE = r"[A-Z]{3}$"
+_CODE_AFTER_NAME = r"(?<=[^\s\u00A0])[\s\u00A0]*[A-Z]{3}$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -58,7 +59,8 @@ def first_number(c: Column) -> Column:
 def number(c: Column, to: str = "double") -> Column:
     """Text as a number of type ``to``; null when it is not a number (or not a whole one)."""
     text = strip(c.cast("string"))
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    # the guard is added, not wrapped around, so that text and value are worked out once per row
+    value = text.try_cast("double") + F.when(text.rlike(_NUMBER), F.lit(0.0))
     if to in ("double", "float"):
         return value.cast(to)
     return F.when(value == F.rint(value), value.try_cast(to))
@@ -85,11 +87,9 @@ def time_part(c: Column) -> Column:
 
 def driver_code(driver: Column) -> Column:
     """The three capitals at the end of a driver cell, null when there are none."""
-    return null_if_blank(F.regexp_extract(strip(driver), _CODE, 2))
+    return null_if_blank(F.regexp_extract(strip(driver), _CODE, 0))
 
 
 def driver_name(driver: Column) -> Column:
     """A driver cell without its trailing code; a cell that is only a code stays whole."""
-    whole = strip(driver)
-    name = strip(F.regexp_extract(whole, _CODE, 1))
-    return F.when(name != "", name).otherwise(whole)
+    return F.regexp_replace(strip(driver), _CODE_AFTER_NAME, "")

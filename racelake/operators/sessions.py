@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racelake.functions import durations, text
@@ -51,13 +51,10 @@ def winner_gaps(
     ).drop("_winner")
 
 
-def with_winner_gaps(rows: DataFrame, is_winner, has_winner, time_text: str) -> DataFrame:
+def with_winner_gaps(rows: DataFrame, is_winner: Column, has_winner: Column, time_text: str) -> DataFrame:
     """Add the two winner-relative columns, given who won."""
-    cell = F.col(time_text)
-    secs = durations.seconds(cell)
-    return rows.withColumns(
-        {
-            "race_time_s": F.when(is_winner, secs),
-            "gap_to_winner_s": F.when(has_winner & ~is_winner & text.is_gap(cell), secs),
-        }
-    )
+    timed = rows.withColumn("_secs", durations.seconds(F.col(time_text)))
+    gap = has_winner & ~is_winner & text.is_gap(F.col(time_text))
+    return timed.withColumns(
+        {"race_time_s": F.when(is_winner, F.col("_secs")), "gap_to_winner_s": F.when(gap, F.col("_secs"))}
+    ).drop("_secs")
