@@ -74,6 +74,20 @@ def star_join(t: Tables):
     return wide.select("o_orderkey", "c_name", "n_name", "r_name")
 
 
+@query(
+    "races_with_tracks",
+    """
+    SELECT o_orderkey AS "Race_Id", o_custkey AS "Track_Key", p_brand AS "Country"
+    FROM orders LEFT JOIN part ON p_partkey = o_custkey
+    """,
+)
+def races_with_tracks(t: Tables):
+    """Races with the country of their track."""
+    races = t.orders.select(c("o_orderkey").alias("Race_Id"), c("o_custkey").alias("Track_Key"))
+    tracks = t.part.select(c("p_partkey").alias("Track_Key"), c("p_name").alias("Track_Name"), c("p_brand").alias("Country"))
+    return gold.races_with_tracks(races, tracks)
+
+
 @query("report_title", "SELECT CAST(max(year(o_orderdate)) AS VARCHAR) || ' RACE RESULTS' AS title FROM orders")
 def report_title(t: Tables):
     return t.orders.agg(reports.season_title(F.year("o_orderdate")).alias("title"))

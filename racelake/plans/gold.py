@@ -46,6 +46,11 @@ def correct_points(results: DataFrame, corrections: DataFrame) -> DataFrame:
     return correct(results, corrections, ["Race_Id", "Position"], "Points", "Delta")
 
 
+def races_with_tracks(races: DataFrame, tracks: DataFrame) -> DataFrame:
+    """The races dimension as reports see it: each race with the country of its track."""
+    return star(races, (tracks.select("Track_Key", "Country"), "Track_Key"))
+
+
 def season_winners(
     results: DataFrame, races: DataFrame, countries: DataFrame, seasons: Sequence[int],
     positions: Sequence[str] = ("1",), statuses: Sequence[str] = ("Finished",),
