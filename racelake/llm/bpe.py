@@ -165,20 +165,21 @@ def encode(docs: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int = OVERL
     return short.unionByName(_encode_long(counted.withColumn("row_id", key), ranks, chunk, overlap))
 
 
-def _digest(ranks: str):
+def _digest(ranks: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(ranks)
         decimal = [b"%d" % i for i in range(coder.n_vocab)]
         for batch in batches:
             lengths, ids_digest, decoded_digest = [], [], []
             for ids in batch.column("ids"):
-                ids = ids.values.to_pylist()
+                ids = ids.values.to_pylist() if ids.is_valid else []
                 lengths.append(len(ids))
                 ids_digest.append(hashlib.sha256(b",".join(map(decimal.__getitem__, ids))).hexdigest())
                 decoded_digest.append(hashlib.sha256(coder.decode_bytes(ids)).hexdigest())
+            ids = [batch.column("ids")] if with_ids else []
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(ids_digest), pa.array(decoded_digest)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(ids_digest, pa.string()), pa.array(decoded_digest, pa.string()), *ids],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids],
             )
 
     return run
@@ -199,11 +200,10 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decode(ranks), "doc_id long, bytes binary")
 
 
-def digests(encoded: DataFrame, ranks: str) -> DataFrame:
+def digests(encoded: DataFrame, ranks: str, with_ids: bool = False) -> DataFrame:
     """Token count, digest of the decimal ids and digest of the decoded bytes of rows (doc_id, ids)."""
-    return encoded.select("doc_id", "ids").mapInArrow(
-        _digest(ranks), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    shape = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return encoded.select("doc_id", "ids").mapInArrow(_digest(ranks, with_ids), shape)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -61,11 +61,11 @@ def _node(tokens: np.ndarray) -> int:
 
 
 def _describe(k: int):
-    """Texts to (doc_id, n, node), and a partial sketch per task: (part, counts)."""
+    """Rows to (doc_id, row_key, n, node), and a partial sketch per task: (part, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
-        names = ["doc_id", "n", "node", "part", "counts"]
+        names = ["doc_id", "row_key", "n", "node", "part", "counts"]
         for batch in batches:
             for lo in range(0, batch.num_rows, _BATCH):
                 rows = batch.slice(lo, _BATCH)
@@ -76,13 +76,13 @@ def _describe(k: int):
                     seen.append(tokens)
                 sketch += np.bincount((np.concatenate(seen) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
+                    [rows.column("doc_id"), rows.column("row_key"), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
                     names=names,
                 )
         if sketch.any():
             counts = [p.astype(np.uint32).tobytes() for p in np.split(sketch, PARTS)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int32()), pa.nulls(PARTS, pa.int64()), pa.array(range(PARTS), pa.int32()), pa.array(counts, pa.binary())],
+                [pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int32()), pa.nulls(PARTS, pa.int64()), pa.array(range(PARTS), pa.int32()), pa.array(counts, pa.binary())],
                 names=names,
             )
 
@@ -251,13 +251,21 @@ def _hub_pairs(entries: DataFrame, hub: Column, percent: int) -> DataFrame:
     return rows.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
+def _row_key() -> Column:
+    """A key by which equal rows (doc_id, text), and practically only these, are the same."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, row_key, n_shingles, component, component_id) of every row of ``docs`` (doc_id, text).
+
+    ``component`` names the group and is null for empty sets, ``component_id`` is its smallest doc_id.
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shape = "doc_id long, n int, node long, part int, counts binary"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text")
+    shape = "doc_id long, row_key long, n int, node long, part int, counts binary"
     described = staged(rows.mapInArrow(_describe(k), shape), "shingle-nodes")
-    nodes = described.filter("part is null").select("doc_id", "n", "node")
+    nodes = described.filter("part is null").select("doc_id", "row_key", "n", "node")
     partial = described.filter("part is not null").select("part", "counts")
     summed = partial.repartition(PARTS, "part").mapInArrow(_add_up, "part int, counts binary").collect()
     sketch = np.zeros(SKETCH, np.int64)
@@ -304,11 +312,30 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
     named_nodes = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = named_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_label = of_node.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_node = of_node.join(of_label, "label").select(F.col("node").alias("_node"), "component_id")
+    of_node = of_node.join(of_label, "label").select(F.col("node").alias("_node"), "label", "component_id")
     return nodes.join(of_node, F.col("node") == F.col("_node"), "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "row_key", F.col("n").cast("long").alias("n_shingles"), F.col("label").alias("component"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
     )
 
 
+def survivors(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """One row of every group of ``docs``, the one with the smallest doc_id, with all its columns.
+
+    Rows without words are in no group and all stay; a row without doc_id only stands for a group that has no other.
+    """
+    found = join(docs, k, percent)
+    grouped = found.filter("component is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first")
+    kept = grouped.groupBy("component").agg(first).select("first.doc_id", "first.row_key")
+    kept = kept.unionByName(found.filter("component is null").select("doc_id", "row_key").distinct())
+    kept = staged(kept.select(F.col("doc_id").alias("_doc_id"), F.col("row_key").alias("_kept_key")), "survivors")
+    rows = docs.withColumn("_row_key", _row_key())
+    same = (F.col("_row_key") == F.col("_kept_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
+    # copies of a row are one document: of the same key one row stays
+    one = rows.join(kept, same).dropDuplicates(["_row_key", "_doc_id"])
+    return one.select(*docs.columns)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return join(documents(ship(spark), folder), 4, 85)
+    return join(documents(ship(spark), folder), 4, 85).select("doc_id", "n_shingles", "component_id")

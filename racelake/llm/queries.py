@@ -1,9 +1,12 @@
 """The queries of this folder."""
 
-from racelake.llm import bpe, decontam, language, ngram_join, pii, secret_scan, sharding, token_store
+from racelake.llm import (
+    bpe, decontam, language, ngram_join, pii, secret_scan, sharding, suffix_dedup, token_store, topk,
+)
 
 QUERIES = {
     "op1_pii": pii.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op3_token_store": token_store.query,
     "op4_secret_scan": secret_scan.query,
     "op5_bpe": bpe.query,
@@ -11,6 +14,8 @@ QUERIES = {
     "op7_sharding": sharding.query,
     "op8_ngram_join": ngram_join.query,
     "op9_decontamination": decontam.query,
+    "op10_topk": topk.query,
 }
 
+
 ORACLES: dict[str, str] = {}
