@@ -38,6 +38,9 @@ from racelake.shipping import ship
 CLASSES = 16
 SKETCH = 1 << 20
 """counters of the frequency sketch; 8 bytes each go to the driver and back"""
+PARITIES = 1024
+MARKS = 1 << 26
+"""bits of the bitmap that marks rows whose sets are wanted"""
 PARTS = 16
 """rows the sketch is summed up in"""
 _BATCH = 256
@@ -60,29 +63,40 @@ def _node(tokens: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(tokens + np.uint64(len(tokens)))).view(np.int64))
 
 
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    """Per hash class, whether a set holds an odd number of its tokens; as 64-bit words.
+
+    Every class in which two sets differ holds a token that only one of them has.
+    """
+    odd = np.bincount((mix(tokens + np.uint64(7)) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _describe(k: int):
-    """Rows to (doc_id, row_key, n, node), and a partial sketch per task: (part, counts)."""
+    """Rows to (doc_id, row_key, n, node, odd), and a partial sketch per task: (part, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
-        names = ["doc_id", "row_key", "n", "node", "part", "counts"]
+        names = ["doc_id", "row_key", "n", "node", "odd", "part", "counts"]
+        words = pa.list_(pa.int64())
         for batch in batches:
             for lo in range(0, batch.num_rows, _BATCH):
                 rows = batch.slice(lo, _BATCH)
-                sizes, nodes, seen = [], [], []
+                sizes, nodes, odd, seen = [], [], [], []
                 for tokens in _sets(rows.column("text"), k):
                     sizes.append(len(tokens))
                     nodes.append(_node(tokens))
+                    odd.append(_parities(tokens))
                     seen.append(tokens)
                 sketch += np.bincount((np.concatenate(seen) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), rows.column("row_key"), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
+                    [rows.column("doc_id"), rows.column("row_key"), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), pa.array(odd, words), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
                     names=names,
                 )
         if sketch.any():
             counts = [p.astype(np.uint32).tobytes() for p in np.split(sketch, PARTS)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int32()), pa.nulls(PARTS, pa.int64()), pa.array(range(PARTS), pa.int32()), pa.array(counts, pa.binary())],
+                [pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int32()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, words), pa.array(range(PARTS), pa.int32()), pa.array(counts, pa.binary())],
                 names=names,
             )
 
@@ -164,11 +178,17 @@ def _index(k: int, percent: int, shared):
     return run
 
 
-def _tokens_of(k: int):
+def _tokens_of(k: int, shared):
+    """Rows (row_key, text) whose key is marked in the bitmap to (node, tokens)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
         for batch in batches:
+            bit = batch.column("row_key").to_numpy().view(np.uint64) % np.uint64(MARKS)
+            marked = bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1) > 0
+            batch = batch.filter(pa.array(marked))
             for lo in range(0, batch.num_rows, _BATCH):
-                sets = list(_sets(batch.slice(lo, _BATCH).column("text"), k))
+                sets = [s for s in _sets(batch.slice(lo, _BATCH).column("text"), k) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                     names=["node", "tokens"],
@@ -177,6 +197,27 @@ def _tokens_of(k: int):
     return run
 
 
+def _sets_of(pairs: DataFrame, node_rows: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """(node, tokens) of the nodes of pairs, and of a few others, made from their texts.
+
+    The texts are read once more, but not moved: a bitmap of fixed size marks the rows to look at. Where
+    more rows are wanted than it has bits, more sets are made than needed; the join with the pairs drops them.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    bit = F.pmod(F.col("row_key"), F.lit(MARKS))
+    # the row key as an unsigned number modulo a power of two is the same as pmod of the signed one
+    words = (
+        node_rows.join(wanted, "node").select(bit.alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).collect()
+    )
+    bitmap = np.zeros(MARKS // 64, np.uint64)
+    for r in words:
+        bitmap[r["word"]] = np.int64(r["bits"]).view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+    found = rows.select("row_key", "text").mapInArrow(_tokens_of(k, shared), "node long, tokens array<long>")
+    return staged(found, "shared-sets")
+
+
 def _repeated_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (sig, n, node): those under an entry that holds two nodes or more, each once.
 
@@ -215,13 +256,24 @@ def _possible(a_n: Column, b_n: Column, a_place: Column, b_place: Column, percen
     return (F.least(a_n, b_n) * 100 >= F.greatest(a_n, b_n) * percent) & ((a_place < 0) | (b_place < 0) | (left >= overlap))
 
 
+def _close(pairs: DataFrame, node_rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parities do not rule out that they are similar enough."""
+    for side in ("a", "b"):
+        facts = node_rows.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("odd").alias(f"odd_{side}"))
+        pairs = pairs.join(facts, side)
+    both = F.col("n_a") + F.col("n_b")
+    apart = F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return pairs.filter(apart <= both - 2 * F.ceil(both * percent / (100 + percent))).select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     union = F.size("ta") + F.size("tb") - both
-    return pairs.join(a, "a").join(b, "b").filter(both * 100 >= union * percent).select("a", "b")
+    # repeated rows give a set twice
+    return pairs.join(a, "a").join(b, "b").filter(both * 100 >= union * percent).select("a", "b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -263,7 +315,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text")
-    shape = "doc_id long, row_key long, n int, node long, part int, counts binary"
+    shape = "doc_id long, row_key long, n int, node long, odd array<long>, part int, counts binary"
     described = staged(rows.mapInArrow(_describe(k), shape), "shingle-nodes")
     nodes = described.filter("part is null").select("doc_id", "row_key", "n", "node")
     partial = described.filter("part is not null").select("part", "counts")
@@ -277,20 +329,17 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
     ordered = index.repartition(F.col("sig")).sortWithinPartitions("sig", "n", "node")
     entries = staged(ordered.mapInArrow(_repeated_entries, index.schema), "shared-entries")
 
-    # the texts of nodes that share an entry are read once more for their sets
-    wanted = entries.select("node").distinct()
-    named = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = staged(named.join(wanted, "node").select("doc_id").filter("doc_id is not null").distinct(), "shared-documents")
-    unnamed = nodes.filter("n > 0").groupBy("node").agg(F.max("doc_id").alias("m")).filter("m is null")
-    texts = rows.join(ids, "doc_id", "left_semi").select("text")
-    if not unnamed.isEmpty():
-        texts = texts.unionByName(rows.filter("doc_id is null").select("text"))
-    sets = staged(
-        texts.mapInArrow(_tokens_of(k), "node long, tokens array<long>").dropDuplicates(["node"]), "shared-sets"
+    described_nodes = described.filter("n > 0").groupBy("node")
+    node_rows = staged(
+        described_nodes.agg(F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("odd").alias("odd")), "node-rows"
     )
 
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = staged(_close(pairs, node_rows, percent), "close-pairs")
+        return staged(_linked(pairs, _sets_of(pairs, node_rows, rows, k), percent), "links")
+
     tested = staged(_hub_pairs(entries, F.min(F.struct("n", "node", "place")), percent), "pairs")
-    links = staged(_linked(tested, sets, percent), "links")
+    links = linked(tested)
     for last in (False, True):
         labels = components(links)
         labelled = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -307,7 +356,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
             found = _hub_pairs(open_entries.drop("label"), F.max(F.struct("n", "node", "place")), percent)
         pairs = staged(found.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
-        links = links.unionByName(staged(_linked(pairs, sets, percent), "links"))
+        links = links.unionByName(linked(pairs))
     labels = components(links)
     named_nodes = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = named_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
