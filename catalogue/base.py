@@ -24,17 +24,13 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __call__(self, sql: str, spread: bool = False) -> DataFrame:
-        used = {name: getattr(self, name) for name in TABLES if "{" + name + "}" in sql}
-        return self.spark.sql(sql, **{name: self._spread(df) if spread else df for name, df in used.items()})
-
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """A table that is read by fewer tasks than there are cores, over all of them.
+        """A query over the tables; with ``spread`` their rows are dealt out by their key first.
 
-        For queries that make much work of a small file; a large table has splits enough and is
-        left alone.
+        That is for queries that make much work of every row: the size of a file then does not decide
+        how many tasks share it.
         """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+        used = {name: getattr(self, name) for name in TABLES if "{" + name + "}" in sql}
+        return self.spark.sql(sql, **{name: df.repartition(df[df.columns[0]]) if spread else df for name, df in used.items()})
 
 
 def duck(sql: str) -> str:

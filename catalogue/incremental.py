@@ -231,6 +231,10 @@ def carried_flags(t: Tables):
     f"""
     SELECT s.season, s.gp, date_text, url, sprint, scraped_at_utc, 'N' AS silver, 'N' AS bronze, race_id FROM staged s
     WHERE {_FLAG} = 'N' AND NOT EXISTS (FROM known k WHERE k.season = s.season AND k.gp = s.gp)
+    QUALIFY row_number() OVER (
+        PARTITION BY s.season, s.gp ORDER BY scraped_at_utc DESC NULLS LAST, date_text DESC NULLS LAST, url DESC NULLS LAST,
+        sprint DESC NULLS LAST, race_id DESC NULLS LAST
+    ) = 1
     """,
     staged=STAGED, known=KNOWN,
 )

@@ -45,6 +45,3 @@ PIT_STOPS_SINCE = 1994
 MODERN_QUALIFYING_SINCE = 2006
 SPRINTS_SINCE = 2021
 SPRINT_QUALIFYING_SINCE = 2023
-
-# One season of every era, for sample copies.
-ERA_SEASONS = (2021, 2017, 2004, 1990, 1994, 1975, 2025)

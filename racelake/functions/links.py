@@ -26,7 +26,16 @@ def parent_slug(url: Column) -> Column:
 def session_url(race_url: Column, session: Column | str) -> Column:
     """The race's page for another session: its last segment replaced, null for an empty URL."""
     session = F.lit(session) if isinstance(session, str) else session
-    base = F.regexp_replace(race_url, r"/[^/]*$", "")
+    return session_of(race_url, session_base(race_url), session)
+
+
+def session_base(race_url: Column) -> Column:
+    """The race's page without its last segment."""
+    return F.regexp_replace(race_url, r"/[^/]*$", "")
+
+
+def session_of(race_url: Column, base: Column, session: Column) -> Column:
+    """The page of a session, from the base that all sessions of the race share."""
     return F.when(race_url != "", F.concat(base, F.lit("/"), session))
 
 
@@ -41,6 +50,24 @@ def origin(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
 
 
+def _resolved(url: Column) -> Column:
+    """An absolute URL without ``.`` and ``..`` segments in its path."""
+    path = F.regexp_replace(F.substring(url, F.length(origin(url)) + 1, F.length(url)), r"[?#].*$", "")
+    rest = F.substring(url, F.length(origin(url)) + F.length(path) + 1, F.length(url))
+    segments = F.split(path, "/", -1)
+    none = F.array().cast("array<string>")
+
+    def step(done: Column, segment: Column) -> Column:
+        # the first segment is the empty one ahead of the leading slash
+        up = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        return F.when(segment == "..", up).when(segment == ".", done).otherwise(F.concat(done, F.array(segment)))
+
+    walked = F.array_join(F.aggregate(segments, none, step), "/")
+    # a path that ends in a dot segment names a folder
+    folder = F.when(F.element_at(segments, -1).isin(".", ".."), F.lit("/")).otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(origin(url), walked, folder, rest)).otherwise(url)
+
+
 def absolute(page_url: Column, href: Column) -> Column:
     """A link as an absolute URL, seen from the page it stands on."""
     page = F.regexp_replace(page_url, r"[?#].*$", "")
@@ -49,11 +76,11 @@ def absolute(page_url: Column, href: Column) -> Column:
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(page_url, r"^[^:]*:", 0), href))
-        .when(href.startswith("/"), F.concat(origin(page_url), href))
+        .when(href.startswith("/"), _resolved(F.concat(origin(page_url), href)))
         .when(href == "", page_url)
         .when(href.startswith("?"), F.concat(page, href))
         .when(href.startswith("#"), F.concat(F.regexp_replace(page_url, r"#.*$", ""), href))
-        .otherwise(F.concat(folder, href))
+        .otherwise(_resolved(F.concat(folder, href)))
     )
 
 

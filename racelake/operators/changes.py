@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racelake.fixed import ERA_SEASONS, LATE_SCRATCH
+from racelake.fixed import LATE_SCRATCH
 from racelake.operators.lookups import attach, lacking
 
 
@@ -74,6 +74,6 @@ def mark_scratched(results: DataFrame) -> DataFrame:
     return update_where(results, lacks_time(), {"time_or_retired": F.lit(LATE_SCRATCH)})
 
 
-def season_sample(df: DataFrame, seasons: Sequence[int] = ERA_SEASONS) -> DataFrame:
+def season_sample(df: DataFrame, seasons: Sequence[int]) -> DataFrame:
     """The rows of a few whole seasons, for a trial lake."""
     return df.filter(F.col("season").isin(*seasons))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from racelake.functions import rules
 
-SALTS = 4
+SALTS = 1
 
 
 def _spread_join(
@@ -25,12 +25,15 @@ def _spread_join(
 ) -> DataFrame:
     """Join rows to a table with one row per key so that no key has to fit in one task.
 
-    The rows of a key are spread over ``salts`` shuffle partitions by a hash of the ``spread`` columns
-    (all columns by default), and the one row of the other table is repeated for each. As that table
-    is shuffled by key *and* salt, not just grouped by key, both join inputs are plain shuffles, which
-    is what adaptive execution needs to split a partition that is still too large by its size.
+    The other table is shuffled by key *and* salt, not just grouped by key, so both join inputs are plain
+    shuffles, which is what adaptive execution needs to split a partition that is too large by its size.
+    With ``salts`` over one, the rows of a key are also spread over that many partitions by a hash of the
+    ``spread`` columns, and the one row of the other table is repeated for each. The salt depends on
+    these columns alone (the key's by default): filters on the result reach the scans, and no other column is read for it.
     """
-    salt = F.pmod(F.xxhash64(*(spread or rows.columns)) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    if salts > 1 and not spread:
+        raise ValueError("name the columns that tell the rows of a key apart")
+    salt = F.pmod(F.xxhash64(*(spread if salts > 1 else keys)), F.lit(salts)).cast("int")
     left = rows.withColumn("_salt", salt)
     right = per_key.select(
         *(F.col(k).alias(f"_key_{k}") for k in keys),
@@ -98,7 +101,7 @@ class Registered(NamedTuple):
     pending: DataFrame
     """races still to be processed"""
     to_append: DataFrame
-    """pending races the master table does not list yet"""
+    """pending races the master table does not list yet, each once"""
 
 
 def register_races(staged: DataFrame, known: DataFrame, season: int | None = None) -> Registered:
@@ -113,7 +116,11 @@ def register_races(staged: DataFrame, known: DataFrame, season: int | None = Non
     columns = staged.columns
     flagged = carry_flag(staged, known, keys, "bronze").withColumn("silver", F.lit("N")).select(*columns)
     pending = flagged.filter(F.col("bronze") == "N")
-    return Registered(flagged, pending, unseen(pending, known, keys))
+    new = unseen(pending, known, keys)
+    # of a race staged several times the newest row; rows of the same time by their other columns
+    order = sorted((c for c in columns if c not in keys), key=lambda c: c != "scraped_at_utc")
+    once = new.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_row")).select(*keys, "_row.*").select(*columns)
+    return Registered(flagged, pending, once)
 
 
 def promote(staging: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:

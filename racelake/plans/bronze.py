@@ -19,7 +19,7 @@ from racelake.operators.shape import conform
 from racelake.plans import weekend
 from racelake.plans.layouts import LAYOUTS, is_season_index, is_sprint_table, normal_headers
 from racelake.sources import html
-from racelake.sources.pages import read_pages
+from racelake.sources.pages import newest_copies, read_pages
 
 _STRICT = ("race-result", "sprint-results")  # kinds whose missing table is an error
 
@@ -150,6 +150,9 @@ def _race_url(page_url: Column, season: Column, hrefs: Column) -> Column:
 def season_races(pages: DataFrame) -> DataFrame:
     """The races listed on stored season index pages, sprint flag still open."""
     index = pages.filter(F.col("url").rlike(_INDEX))
+    # an index is scraped again on every run: the newest copy counts
+    newest = newest_copies(index.select(F.col("url").alias("page_url")).distinct(), index).select("page_id")
+    index = index.join(newest, "page_id", "left_semi")
     parsed = html.extract_tables(index, ["url", "scraped_at_utc"], with_links=True)
     listed = parsed.select("url", "scraped_at_utc", F.explode(_first_table(is_season_index)["rows"]).alias("row"))
     season = F.regexp_extract("url", _INDEX, 1)

@@ -57,11 +57,11 @@ def sessions(season: Column, sprint: Column) -> Column:
 def session_plan(races: DataFrame) -> DataFrame:
     """One row per race and session page; races without URL have none."""
     planned = races.filter(F.col("url").isNotNull()).select(
-        "season", F.col("url").alias("race_url"), F.explode(sessions(F.col("season"), F.col("sprint"))).alias("s")
-    )
-    return planned.select(
-        "season", "race_url", "s.kind", "s.practice_no", links.session_url(F.col("race_url"), F.col("s.path")).alias("page_url")
+        "season", F.col("url").alias("race_url"), links.session_base(F.col("url")).alias("base"),
+        F.explode(sessions(F.col("season"), F.col("sprint"))).alias("s"),
     )
+    url = links.session_of(F.col("race_url"), F.col("base"), F.col("s.path"))
+    return planned.select("season", "race_url", "s.kind", "s.practice_no", url.alias("page_url"))
 
 
 def sprint_plan(races: DataFrame) -> DataFrame:

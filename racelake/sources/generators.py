@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,5 +19,5 @@ def seasons(spark: SparkSession, current: int, first: int = SEASON_RANGE[0], las
 
 def days(spark: SparkSession, first: str = CALENDAR_RANGE[0], last: str = CALENDAR_RANGE[1]) -> DataFrame:
     """One row per day, first and last day included."""
-    bounds = spark.range(1).select(F.lit(first).cast("date").alias("a"), F.lit(last).cast("date").alias("b"))
-    return bounds.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("Date"))
+    count = (date.fromisoformat(last) - date.fromisoformat(first)).days + 1
+    return spark.range(max(count, 0)).select(F.date_add(F.lit(first).cast("date"), F.col("id").cast("int")).alias("Date"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from html import unescape
+from html.entities import name2codepoint
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from racelake.functions import links as urls
 from racelake.functions.text import null_if_blank
+from racelake.shipping import ship
 
 _ROW = T.StructType(
     [T.StructField("cells", T.ArrayType(T.StringType())),
@@ -267,6 +269,7 @@ def extract_tables(pages: DataFrame, keep: Sequence[str], with_links: bool = Fal
 
     One row per input page: nothing is dropped, a page that cannot be read keeps its error text.
     """
+    ship(pages.sparkSession)
     narrow = pages.select(*keep, "html")
     schema = T.StructType(
         [narrow.schema[c] for c in keep]
@@ -292,18 +295,33 @@ def extract_tables(pages: DataFrame, keep: Sequence[str], with_links: bool = Fal
 
 # --- rules that need no parser ---
 
-# The character references that result pages use.
-_REFERENCES = {
-    "&nbsp;": " ", "&#160;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'",
-    "&amp;": "&",
-}
+# The named character references of HTML 4 by the standard library's table, and ``apos``.
+_NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+
+
+def unescaped(text: Column) -> Column:
+    """Text with its character references decoded: decimal, hexadecimal and named ones.
+
+    The text is cut at every ``&``; a part that begins with a reference gets its character.
+    """
+    named = F.create_map(*(F.lit(x) for pair in sorted(_NAMED.items()) for x in pair))
+
+    def part(piece: Column, i: Column) -> Column:
+        reference = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        hexadecimal = F.when(reference.rlike("^#[xX]"), F.substring(reference, 3, 6)).otherwise(F.conv(F.substring(reference, 2, 7), 10, 16))
+        code = F.lpad(hexadecimal, 8, "0")
+        valid = (code > "00000000") & (F.upper(code) <= "0010FFFF") & ~F.upper(code).between("0000D800", "0000DFFF")
+        numeric = F.when(reference.startswith("#") & valid, F.decode(F.unhex(code), "UTF-32"))
+        char = F.coalesce(numeric, F.try_element_at(named, reference))
+        rest = F.substring(piece, F.length(reference) + 2, F.length(piece))
+        return F.when(i == 0, piece).when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), part), "")).otherwise(text)
 
 
 def plain_text(markup: Column) -> Column:
     """Markup as text: tags out, character references in, white space collapsed."""
-    text = F.regexp_replace(markup, r"<[^>]*>", " ")
-    for reference, char in _REFERENCES.items():
-        text = F.replace(text, F.lit(reference), F.lit(char))
+    text = unescaped(F.regexp_replace(markup, r"<[^>]*>", " "))
     return F.trim(F.regexp_replace(text, r"[\s\u00A0]+", " "))
 
 
@@ -315,15 +333,13 @@ def title(html: Column) -> Column:
 
 def page_links(pages: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Every link of a page, in order, as text, target as written and absolute URL."""
-    anchor = r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
+    anchor = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a>"""
     found = F.arrays_zip(
         F.regexp_extract_all("html", F.lit(anchor), F.lit(1)).alias("href"),
         F.regexp_extract_all("html", F.lit(anchor), F.lit(2)).alias("text"),
     )
     rows = pages.select(*keep, "url", F.posexplode(found).alias("link_no", "link"))
-    href = F.col("link.href")
-    for reference, char in _REFERENCES.items():
-        href = F.replace(href, F.lit(reference), F.lit(char))
+    href = unescaped(F.regexp_replace("link.href", "^[\"']|[\"']$", ""))
     return rows.select(
         *keep, (F.col("link_no") + 1).alias("link_no"), plain_text(F.col("link.text")).alias("text"),
         href.alias("href"), urls.absolute(F.col("url"), href).alias("target"),

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from racelake.fixed import ERA_SEASONS
 from racelake.plans import bronze, silver, weekend
 
 ROOT = "https://r.example.org/en/results"
@@ -70,7 +69,7 @@ def test_clean_results_and_notes(parsed):
     assert [n["Note"] for n in notes] == ["Car 9 set back."] and notes[0]["Event"] == "Race"
 
 
-@pytest.mark.parametrize("season", ERA_SEASONS)
+@pytest.mark.parametrize("season", (2021, 2017, 2004, 1990, 1994, 1975, 2025))
 def test_sessions_by_era(spark, season):
     def kinds(sprint):
         races = spark.createDataFrame([(season, f"{ROOT}/{season}/races/1/a/race-result", sprint)], "season int, url string, sprint string")
