@@ -108,7 +108,9 @@ def marked(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GR
     lengths = sorted(r["n"] for r in index.filter(F.col("need") < width).select("n").distinct().collect())
     rows = _row_keys(docs).select("doc_id", "row_key", words(F.col("text")).alias("w"))
     rows = rows.select("doc_id", "row_key", F.size("w").alias("n_words"), _hashes("w").alias("h"))
-    fps = F.array_distinct(F.concat(_smallest(_grams(F.col("h"), gram), width - gram + 1), *(_grams(F.col("h"), n) for n in lengths)))
+    # a column of its own: inside the function of every window the grams would be computed anew
+    rows = rows.withColumn("g", _grams(F.col("h"), gram))
+    fps = F.array_distinct(F.concat(_smallest(F.col("g"), width - gram + 1), *(_grams(F.col("h"), n) for n in lengths)))
     exploded = rows.select("doc_id", "row_key", "n_words", F.posexplode_outer(fps).alias("at", "fp"))
     found = staged(known.withColumn("known", F.lit(True)), "benchmark-fingerprints")
     per_row = (
