@@ -42,11 +42,21 @@ def _grams(hashes: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, F.lit(n))))
 
 
-def _smallest(grams: Column, width: int) -> Column:
-    """The distinct smallest hashes of all runs of ``width`` grams."""
-    last = F.size(grams) - width + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(grams, i, F.lit(width)))))
+def _smallest(rows: DataFrame, grams: str, width: int, name: str) -> DataFrame:
+    """Rows with the distinct smallest hashes of all runs of ``width`` grams as column ``name``.
+
+    The smallest of a run is that of two shorter runs that cover it, so each gram is looked at once per
+    doubling of the width. Every step is a column of its own, or each would be computed twice in the next.
+    """
+    count = F.greatest(F.size(grams) - width + 1, F.lit(0))
+    out, reach = rows.withColumn(name, F.col(grams)), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        # beyond the end there are nulls, which F.least skips; what they touch is cut off below
+        shifted = F.slice(name, step + 1, F.greatest(F.size(name), F.lit(1)))
+        out = out.withColumn(name, F.zip_with(name, shifted, lambda x, y: F.least(x, y)))
+        reach += step
+    return out.withColumn(name, F.array_distinct(F.slice(name, F.lit(1), count)))
 
 
 def _places(hashes: Column, n: int) -> Column:
@@ -67,7 +77,7 @@ def index_items(items: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
     """
     own = items.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
     own = own.filter((F.size("w") > 0) & F.col("item_id").isNotNull()).withColumn("h", _hashes("w")).withColumn("g", _grams(F.col("h"), gram))
-    long = own.filter(F.size("w") >= width).withColumn("kept", _smallest(F.col("g"), width - gram + 1))
+    long = _smallest(own.filter(F.size("w") >= width), "g", width - gram + 1, "kept")
     # every place of a kept gram, also one that was not the smallest there
     long = long.select("item_id", "w", "kept", F.posexplode("g").alias("at", "fp")).filter(F.array_contains("kept", F.col("fp")))
     before = F.reverse(F.slice("w", F.greatest(F.col("at") - (width - gram) + 1, F.lit(1)), F.least(F.col("at"), F.lit(width - gram))))
@@ -110,11 +120,12 @@ def marked(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GR
     rows = rows.select("doc_id", "row_key", F.size("w").alias("n_words"), _hashes("w").alias("h"))
     # a column of its own: inside the function of every window the grams would be computed anew
     rows = rows.withColumn("g", _grams(F.col("h"), gram))
-    fps = F.array_distinct(F.concat(_smallest(F.col("g"), width - gram + 1), *(_grams(F.col("h"), n) for n in lengths)))
+    rows = _smallest(rows, "g", width - gram + 1, "kept")
+    fps = F.array_distinct(F.concat("kept", *(_grams(F.col("h"), n) for n in lengths)))
     exploded = rows.select("doc_id", "row_key", "n_words", F.posexplode_outer(fps).alias("at", "fp"))
     found = staged(known.withColumn("known", F.lit(True)), "benchmark-fingerprints")
     per_row = (
-        exploded.join(found, "fp", "left").groupBy("doc_id", "row_key", "n_words")
+        exploded.join(found, "fp", "left").filter("known or coalesce(at, 0) = 0").groupBy("doc_id", "row_key", "n_words")
         .agg(
             F.count_if(F.coalesce(F.col("at"), F.lit(0)) == 0).alias("copies"),
             F.collect_set(F.when(F.col("known"), F.col("fp"))).alias("fps"),
