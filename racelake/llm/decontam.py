@@ -132,7 +132,8 @@ def marked(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GR
         )
     )
     per_row = staged(per_row, "winnowed")
-    suspects = per_row.filter(F.size("fps") > 0).select("doc_id", "row_key", "fps")
+    # a table of its own, so that Spark sees how small it is before it decides whether to move texts
+    suspects = staged(per_row.filter(F.size("fps") > 0).select("doc_id", "row_key", "fps"), "suspects")
     texts = _row_keys(docs)
     full = texts.join(suspects, _same_row(texts, suspects)).select(
         suspects["doc_id"], suspects["row_key"], "fps", words(F.col("text")).alias("w")
