@@ -10,7 +10,7 @@ prefix token; sets that can be similar to such a small one are indexed both ways
 
 Nodes found under one index entry are compared with one of them, the hub, first. Comparing joins most
 copies of a group to one component; what remains are pairs of nodes in different components, compared
-one by one. So a large group of near copies costs its size, not its square, and every pair of nodes is
+one by one, where folded parities of their tokens do not rule them out within the join. So a large group of near copies costs its size, not its square, and every pair of nodes is
 either compared, or in one component already, or impossible by length or position.
 
 Frequencies come from a count sketch of fixed size over all texts. A sketch can only overestimate, which
@@ -25,6 +25,7 @@ gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ CLASSES = 16
 SKETCH = 1 << 20
 """counters of the frequency sketch; 8 bytes each go to the driver and back"""
 PARITIES = 1024
+FOLDS = 4
+"""64-bit words of folded parities that go with an index entry"""
 MARKS = 1 << 26
 """bits of the bitmap that marks rows whose sets are wanted"""
 PARTS = 16
@@ -256,6 +259,22 @@ def _possible(a_n: Column, b_n: Column, a_place: Column, b_place: Column, percen
     return (F.least(a_n, b_n) * 100 >= F.greatest(a_n, b_n) * percent) & ((a_place < 0) | (b_place < 0) | (left >= overlap))
 
 
+def _most_apart(both: Column, percent: int) -> Column:
+    """In how many tokens similar enough sets with ``both`` tokens in total can differ."""
+    return both - 2 * F.ceil(both * percent / (100 + percent))
+
+
+def _folded(odd: str) -> list[Column]:
+    """Parities folded into ``FOLDS`` words; two sets are no further apart in these than in all words."""
+    words = PARITIES // 64
+    return [reduce(Column.bitwiseXOR, (F.get(odd, F.lit(w)) for w in range(i, words, FOLDS))).alias(f"odd_{i}") for i in range(FOLDS)]
+
+
+def _apart(a: str, b: str) -> Column:
+    """In how many folded classes two rows differ."""
+    return reduce(Column.__add__, (F.bit_count(F.col(f"{a}odd_{i}").bitwiseXOR(F.col(f"{b}odd_{i}"))) for i in range(FOLDS)))
+
+
 def _close(pairs: DataFrame, node_rows: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose parities do not rule out that they are similar enough."""
     for side in ("a", "b"):
@@ -263,7 +282,7 @@ def _close(pairs: DataFrame, node_rows: DataFrame, percent: int) -> DataFrame:
         pairs = pairs.join(facts, side)
     both = F.col("n_a") + F.col("n_b")
     apart = F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return pairs.filter(apart <= both - 2 * F.ceil(both * percent / (100 + percent))).select("a", "b")
+    return pairs.filter(apart <= _most_apart(both, percent)).select("a", "b")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -346,10 +365,12 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
         mixed = labelled.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi").select("sig")
         open_entries = staged(labelled.join(mixed, "sig", "left_semi"), "open-entries")
         if last:
-            a = open_entries.select("sig", *(F.col(c).alias(f"a_{c}") for c in ("n", "node", "place", "label")))
-            b = open_entries.select("sig", *(F.col(c).alias(f"b_{c}") for c in ("n", "node", "place", "label")))
+            sides = open_entries.join(node_rows.select("node", *_folded("odd")), "node")
+            a, b = (sides.select("sig", *(F.col(c).alias(f"{s}_{c}") for c in sides.columns if c != "sig")) for s in "ab")
+            # all conditions are on the two rows, so Spark tests them in the join, which gives likely pairs only
             found = a.join(b, "sig").filter(
                 (F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node"))
+                & (_apart("a_", "b_") <= _most_apart(F.col("a_n") + F.col("b_n"), percent))
                 & _possible(F.col("a_n"), F.col("b_n"), F.col("a_place"), F.col("b_place"), percent)
             ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
         else:
