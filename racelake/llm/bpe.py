@@ -89,7 +89,7 @@ def _cut(chunk: int, overlap: int):
                 whole = text.as_py()
                 starts = range(0, len(whole), chunk)
                 texts = [whole[s : s + chunk + overlap] for s in starts]
-                final = [s + chunk + overlap >= len(whole) for s in starts]
+                final = [s + chunk >= len(whole) for s in starts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row.as_py()] * len(texts), pa.string()), pa.array([doc.as_py()] * len(texts), pa.int64()),
@@ -102,55 +102,81 @@ def _cut(chunk: int, overlap: int):
 
 
 def _edges(chunk: int, overlap: int):
-    """Boundaries of every chunk in its first ``overlap`` characters and in those it shares with the next."""
+    """Boundaries of every chunk in its first ``overlap`` characters and in those it shares with the next.
+
+    One row a chunk and edge: (row_id, seam, head, tail), the edge between chunks ``seam - 1`` and ``seam``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads, tails = [], []
-            for final, text in zip(batch.column("final"), batch.column("text")):
-                ends = boundaries(text.as_py(), final.as_py())
-                heads.append([e for e in ends if e < overlap])
-                tails.append([e - chunk for e in ends if chunk <= e < chunk + overlap])
+            rows, seams, heads, tails = [], [], [], []
+            columns = (batch.column(name) for name in ("row_id", "chunk", "final", "text"))
+            for row, number, final, text in zip(*columns):
+                row, number, final, text = row.as_py(), number.as_py(), final.as_py(), text.as_py()
+                # the text ends within the overlap of the last chunk but one, too
+                ends = boundaries(text, final or len(text) < chunk + overlap)
+                if number:
+                    rows.append(row), seams.append(number)
+                    heads.append([e for e in ends if e < overlap]), tails.append(None)
+                if not final:
+                    rows.append(row), seams.append(number + 1)
+                    heads.append(None), tails.append([e - chunk for e in ends if chunk <= e < chunk + overlap])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_id"), batch.column("chunk"), pa.array(heads, _ids_type()), pa.array(tails, _ids_type())],
-                names=["row_id", "chunk", "head", "tail"],
+                [pa.array(rows, pa.string()), pa.array(seams, pa.int32()), pa.array(heads, _ids_type()), pa.array(tails, _ids_type())],
+                names=["row_id", "seam", "head", "tail"],
             )
 
     return run
 
 
-def _encode_long(docs: DataFrame, ranks: str, chunk: int, overlap: int) -> DataFrame:
-    """Rows (row_id, doc_id, text, copies) whose text is longer than a chunk: (doc_id, ids)."""
-    shape = "row_id string, doc_id long, chunk int, final boolean, text string"
-    copies = docs.select("row_id", "copies")
-    docs = docs.select("row_id", "doc_id", "text")
-    chunks = docs.mapInArrow(_cut(chunk, overlap), shape).repartition("row_id", "chunk")
-    edges = chunks.mapInArrow(_edges(chunk, overlap), "row_id string, chunk int, head array<int>, tail array<int>")
-    before = edges.select("row_id", (F.col("chunk") + 1).alias("chunk"), F.col("tail").alias("before"))
-    seams = edges.join(before, ["row_id", "chunk"]).select(
-        "row_id", "chunk", F.array_min(F.array_intersect("head", "before")).alias("seam")
+def _encode_long(rows: DataFrame, ranks: str, chunk: int, overlap: int) -> DataFrame:
+    """Rows (row_id, doc_id, text) whose text is longer than a chunk: (doc_id, ids).
+
+    The text is shuffled once, as chunks. Every branch below reads all columns of ``chunks``, so that
+    Spark reuses that one exchange; what else is shuffled are offsets and ids.
+    """
+    # copies of a row meet here and are encoded once
+    chunks = rows.mapInArrow(
+        _cut(chunk, overlap), "row_id string, doc_id long, chunk int, final boolean, text string"
+    ).groupBy("row_id", "chunk").agg(
+        F.first("doc_id").alias("doc_id"), F.first("final").alias("final"), F.first("text").alias("text"),
+        F.count("*").alias("copies"),
     )
-    # seams are one narrow row per chunk; a text with a chunk that found none is encoded whole
-    broken = seams.filter("seam is null").select("row_id").distinct()
-    start = seams.select("row_id", "chunk", F.col("seam").alias("_from"))
-    end = seams.select("row_id", (F.col("chunk") - 1).alias("chunk"), (F.col("seam") + chunk).alias("_to"))
-    pieces = (
-        chunks.join(broken, "row_id", "left_anti")
-        .join(start, ["row_id", "chunk"], "left").join(end, ["row_id", "chunk"], "left")
-        .withColumn("_first", F.coalesce("_from", F.lit(0)))
-        .withColumn("piece", F.col("text").substr(F.col("_first") + 1, F.coalesce("_to", F.length("text")) - F.col("_first")))
-        .select("row_id", "doc_id", "chunk", "piece")
-        .mapInArrow(_encode_rows(ranks), "row_id string, doc_id long, chunk int, ids array<int>")
+    edges = chunks.mapInArrow(_edges(chunk, overlap), "row_id string, seam int, head array<int>, tail array<int>")
+    seams = edges.groupBy("row_id", "seam").agg(
+        F.first("head", True).alias("head"), F.first("tail", True).alias("tail")
+    ).select("row_id", "seam", F.array_min(F.array_intersect("head", "tail")).alias("at"))
+    # one narrow row a text, then one a chunk; a text with a seam that was not found is encoded whole
+    bounds = seams.groupBy("row_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("seam", "at"))), lambda s: s["at"]).alias("at"),
+    ).select(
+        "row_id", F.exists("at", F.isnull).alias("broken"),
+        F.posexplode(F.arrays_zip(F.concat(F.array(F.lit(0)), "at").alias("from"), "at")).alias("chunk", "seam"),
+    ).select("row_id", "chunk", "broken", F.col("seam.from").alias("from"), F.col("seam.at").alias("to"))
+    parts = chunks.join(bounds, ["row_id", "chunk"]).select(
+        "row_id", "doc_id", "chunk", "copies", "broken",
+        F.when(F.col("broken"), F.col("text").substr(1, chunk))
+        .otherwise(F.col("text").substr(
+            F.col("from") + 1, F.when(F.col("final"), F.length("text")).otherwise(F.col("to") + chunk) - F.col("from")
+        )).alias("piece"),
     )
-    stitched = pieces.groupBy("row_id").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda c: c["ids"])).alias("ids"),
+    shape = "row_id string, doc_id long, copies long, ids array<int>"
+    stitched = (
+        parts.filter("not broken").select("row_id", "doc_id", "copies", "chunk", "piece")
+        .mapInArrow(_encode_rows(ranks), "row_id string, doc_id long, copies long, chunk int, ids array<int>")
+        .groupBy("row_id").agg(
+            F.first("doc_id").alias("doc_id"), F.first("copies").alias("copies"),
+            F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda c: c["ids"])).alias("ids"),
+        )
     )
-    whole = docs.join(broken, "row_id", "left_semi").mapInArrow(
-        _encode_rows(ranks), "row_id string, doc_id long, ids array<int>"
+    whole = (
+        parts.filter("broken").groupBy("row_id").agg(
+            F.first("doc_id").alias("doc_id"), F.first("copies").alias("copies"),
+            F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("chunk", "piece"))), lambda c: c["piece"])).alias("text"),
+        ).mapInArrow(_encode_rows(ranks), shape)
     )
-    once = stitched.unionByName(whole).join(copies, "row_id")
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select("doc_id", "ids")
+    once = stitched.unionByName(whole)
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", "ids")
 
 
 def encode(docs: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -159,10 +185,9 @@ def encode(docs: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int = OVERL
         raise ValueError("the overlap must be at least 8 characters and at most a chunk")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     short = rows.filter(F.length("text") <= chunk).mapInArrow(_encode_rows(ranks), "doc_id long, ids array<int>")
-    # copies of a long row are encoded once and repeated afterwards
-    counted = rows.filter(F.length("text") > chunk).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
     key = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"), 256)
-    return short.unionByName(_encode_long(counted.withColumn("row_id", key), ranks, chunk, overlap))
+    long = rows.filter(F.length("text") > chunk).select(key.alias("row_id"), "doc_id", "text")
+    return short.unionByName(_encode_long(long, ranks, chunk, overlap))
 
 
 def _digest(ranks: str, with_ids: bool):
