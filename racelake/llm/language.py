@@ -6,8 +6,10 @@ language has several centroids, found by spherical k-means. A text gets the lang
 with the highest cosine; it is rejected where that centroid is further away than texts of its language
 are.
 
-Document frequencies cover every labelled row. The centroids are fitted on about ``SAMPLE`` labelled
-rows a language, chosen by a hash of the text.
+Document frequencies cover every labelled row. The centroids are fitted on about ``SAMPLE`` different
+labelled texts a language (all, if there are fewer), chosen by a hash of the text; how often a text is
+repeated does not matter. How far texts of a language lie from its centroids is measured on texts left
+out when fitting (``FOLDS``); a language with a single text takes the smallest bound of the others.
 
 Cases: a null text and one without a letter are ``und`` with score 0 and rejected; without any labelled
 row everything is ``und``; repeated rows give repeated results; ties go to the language that sorts
@@ -33,7 +35,10 @@ from racelake.shipping import ship
 DIMS = 1 << 13
 CENTROIDS = 4
 SAMPLE = 400
-"""labelled rows a language (expected) that the centroids are fitted on"""
+"""different labelled texts a language (expected) that the centroids are fitted on"""
+COUNT_ERROR = 0.02
+"""relative standard deviation of the number of different texts"""
+FOLDS = 5
 ROUNDS = 8
 SLACK = 0.5
 """a text is rejected below this share of the cosine that nearly all texts of the language reach"""
@@ -120,15 +125,24 @@ def _clusters(rows: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def _reach(rows: np.ndarray, k: int) -> float | None:
+    """The cosine that nearly all rows reach to centroids of the others; None for a single row."""
+    if len(rows) < 2:
+        return None
+    fold = np.arange(len(rows)) % FOLDS
+    apart = [(rows[fold == i] @ _clusters(rows[fold != i], k).T).max(1) for i in range(min(FOLDS, len(rows)))]
+    return float(np.quantile(np.concatenate(apart), 0.01))
+
+
 def _fit_language(idf: np.ndarray, k: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("text")
+        rows = rows.sort_values(["chance", "text"])
         own = vectors(counts(rows["text"].tolist()), idf).astype(np.float32)
         own = own[np.linalg.norm(own, axis=1) > 0]
         if not len(own):
             return pd.DataFrame({"lang": [], "centroids": [], "reach": []})
         centres = _clusters(own, k).astype(np.float32)
-        reach = float(np.quantile((own @ centres.T).max(1), 0.01))
+        reach = _reach(own, k)
         return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "centroids": [centres.tobytes()], "reach": [reach]})
 
     return run
@@ -145,21 +159,24 @@ def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -
     n = found.get(0, 0)
     df = np.array([found.get(i + 1, 0) for i in range(DIMS)], np.float64)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
-    per_language = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    different = F.approx_count_distinct("text", COUNT_ERROR)
+    per_language = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(different.alias("n")).collect()}
     if not per_language:
         return Model(idf, [], np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros(0))
-    share = F.create_map(*(F.lit(x) for lang, n in per_language.items() for x in (lang, min(1.0, sample / n))))
+    share = F.create_map(*(F.lit(x) for lang, n in per_language.items() for x in (lang, min(1.0, sample / max(n, 1)))))
     # copies share their hash: of equal texts one is taken
-    chance = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.filter(chance < share[F.col("lang")]).groupBy("lang", "text").count().drop("count")
+    chance = F.pmod(F.xxhash64("text"), F.lit(1 << 52)) / float(1 << 52)
+    chosen = rows.withColumn("chance", chance).filter(F.col("chance") < share[F.col("lang")]).distinct()
     shape = "lang string, centroids binary, reach double"
-    fitted = sorted(chosen.groupBy("lang").applyInPandas(_fit_language(idf, centroids), shape).collect())
+    fitted = chosen.groupBy("lang").applyInPandas(_fit_language(idf, centroids), shape).collect()
+    fitted = sorted(fitted, key=lambda r: r["lang"])
+    least = min((r["reach"] for r in fitted if r["reach"] is not None), default=0.0)
     centres = [np.frombuffer(r["centroids"], np.float32).reshape(-1, DIMS) for r in fitted]
     return Model(
         idf, [r["lang"] for r in fitted],
         np.concatenate(centres) if centres else np.zeros((0, DIMS), np.float32),
         np.concatenate([np.full(len(c), i) for i, c in enumerate(centres)]) if centres else np.zeros(0, int),
-        np.array([SLACK * r["reach"] for r in fitted]),
+        np.array([SLACK * (least if r["reach"] is None else r["reach"]) for r in fitted]),
     )
 
 

@@ -159,6 +159,34 @@ def test_language(spark, folder, docs, none):
     assert {r["lang_pred"] for r in language.predict(docs, language.fit(none)).collect()} == {"und"}
 
 
+def test_language_learns_from_different_texts(spark):
+    def text(letters, seed):
+        rng = np.random.default_rng(seed)
+        return " ".join("".join(rng.choice(list(letters), 3)) for _ in range(300))
+
+    # 1000 copies of one text of which no sample by rows takes any, 40 texts 50 times each, three texts once
+    hot = next(t for t in (text("abcdefgh", i) for i in range(100)) if (spark.range(1).select(
+        F.pmod(F.xxhash64(F.lit(t)), F.lit(1 << 20)) / (1 << 20)).head()[0] > 0.5))
+    many, few = [text("ijklmnopqr", 1000 + i) for i in range(40)], [text("stuvwxyz", 2000 + i) for i in range(3)]
+    rows = [(hot, "a")] * 1000 + [(t, "b") for t in many] * 50 + [(t, "c") for t in few]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample=100)
+    assert model.languages == ["a", "b", "c"] and list(model.owner).count(1) == language.CENTROIDS
+    # three texts are centroids of their own, yet the bound is not that of texts equal to a centroid
+    assert 0 < model.floor[2] < 0.9 * language.SLACK and 0 < model.floor[0] < 0.9 * language.SLACK
+    for lang, letters in (("a", "abcdefgh"), ("b", "ijklmnopqr"), ("c", "stuvwxyz")):
+        unseen = language.classify([text(letters, 3000 + i) for i in range(20)], model)
+        assert all(found == lang and accepted for found, _, accepted in unseen)
+    # about ``sample`` different texts, however often each is repeated
+    fitted = language._fit_language
+    language._fit_language = lambda idf, k: (lambda found: found[["lang"]].assign(centroids=b"", reach=float(len(found))).head(1))
+    try:
+        table = spark.range(30_000).selectExpr("concat('text ', id % 1000) text", "'x' lang")
+        asked = language.fit(table, sample=100).floor / language.SLACK
+    finally:
+        language._fit_language = fitted
+    assert 60 < asked[0] < 140
+
+
 def test_sharding(spark, folder, docs, none):
     table = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     hot = table.unionByName(table.limit(1).select(F.explode(F.expr("sequence(1000L, 1100L)")).alias("doc_id"), "text"))
