@@ -6,6 +6,10 @@ to further layers until none is new. A layer carries the place in the original t
 characters, so that a secret found five layers down is a span of the original. Layers seen before are
 skipped, which ends cycles such as a text that decodes to itself.
 
+A region need not decode as a whole: bytes that are not UTF-8 become separators, which no rule matches, and the
+rest of the layer is kept. Base64 runs go on over line ends and are decoded in all four alignments, so that
+words and paths ahead of the encoded part do not matter; compressed data begins wherever its signature is.
+
 Spans are (kind, start, end) in code points, end exclusive. Those of the text itself come first by the
 rules alone; a decoded layer only adds spans, and none that such a span already covers.
 
@@ -17,7 +21,6 @@ guard against decompression bombs; no other limit holds.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -41,7 +44,16 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_LETTERS = "[A-Za-z0-9+/_-]"
+_BREAK = r"[ \t]*+[\r\n][ \t\r\n]*+"
+# at least 16 letters, which may go on over line ends
+_BASE64 = re.compile(
+    rf"(?<!{_LETTERS})(?=(?:{_LETTERS}(?:{_BREAK})?+){{16}}){_LETTERS}++(?:{_BREAK}{_LETTERS}++)*+={{0,2}}"
+)
+_BROKEN = re.compile(r"\s+")
+# a layer without it holds neither a secret nor a region with one, all of which are longer
+_LEGIBLE = re.compile(rb"[\t\n\r\x20-\x7e]{16}")
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 
 Span = tuple[str, int, int]
 
@@ -64,30 +76,24 @@ class Layer:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _spread(layer: Layer, decoded: bytes, source: np.ndarray) -> Layer | None:
-    """A layer of decoded bytes; ``source`` holds (from, to) in the outer layer for each byte."""
-    try:
-        text = decoded.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not text or any(not (c.isprintable() or c in "\t\n\r") for c in text):
-        return None
-    data = np.frombuffer(decoded, np.uint8)
-    first = np.flatnonzero((data & 0xC0) != 0x80)  # the byte at which each character begins
-    last = np.concatenate([first[1:], [len(data)]]) - 1
-    return Layer(text, layer.starts[source[first, 0]], layer.ends[source[last, 1] - 1])
+def _spread(decoded: bytes, starts: np.ndarray, ends: np.ndarray) -> Layer:
+    """A layer of decoded bytes, of which each comes from (start, end) of the original; a byte that is not UTF-8 is a lone surrogate."""
+    text = decoded.decode("utf-8", "surrogateescape")
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    width = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
+    width[(code >= 0xDC80) & (code < 0xDD00)] = 1
+    last = np.cumsum(width) - 1
+    return Layer(text, starts[last - width + 1], ends[last])
 
 
 def _percent(layer: Layer) -> Layer | None:
-    """The whole layer with its percent escapes resolved where they are UTF-8."""
+    """The whole layer with its percent escapes resolved."""
     out: list[str] = []
     starts, ends, at = [], [], 0
     for m in _PERCENT.finditer(layer.text):
         raw = bytes.fromhex(m.group().replace("%", ""))
         offsets = m.start() + 3 * np.arange(len(raw))
-        inner = _spread(layer, raw, np.stack([offsets, offsets + 3], 1))
-        if inner is None:
-            continue
+        inner = _spread(raw, layer.starts[offsets], layer.ends[offsets + 2])
         out += [layer.text[at : m.start()], inner.text]
         starts += [layer.starts[at : m.start()], inner.starts]
         ends += [layer.ends[at : m.start()], inner.ends]
@@ -120,38 +126,57 @@ def _joined(layer: Layer, out: list[str], starts: list, ends: list, at: int) ->
     return Layer(text, np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """What gzip or zlib data holds; None if it is neither."""
-    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0):
-        try:
-            return zlib.decompressobj(47).decompress(data, MOST_BYTES)
-        except zlib.error:
-            return None
-    return None
+def _inflated(data: bytes) -> tuple[bytes, int]:
+    """What the gzip or zlib data at the start of ``data`` holds, and how many bytes that takes."""
+    if not _PACKED.match(data):
+        return b"", 0
+    inner = zlib.decompressobj(47)
+    try:
+        return inner.decompress(data, MOST_BYTES), len(data) - len(inner.unused_data)
+    except zlib.error:
+        return b"", 0
 
 
 def _base64s(layer: Layer) -> Iterator[Layer]:
-    """One layer for every region that is base64 of text, or of compressed text."""
+    """Layers for every region that may be base64, in each alignment, and for compressed data inside."""
     for m in _BASE64.finditer(layer.text):
-        body = m.group().rstrip("=").translate({45: 43, 95: 47})
-        if len(body) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        region = np.tile([m.start(), m.end()], (1, 1))
-        packed = _inflated(raw)
-        while packed is not None and (deeper := _inflated(packed)) is not None:
-            packed = deeper
-        if packed is not None:
-            inner = _spread(layer, packed, np.repeat(region, len(packed), 0))
-        else:
-            at = np.arange(len(raw))
-            source = np.stack([m.start() + at * 8 // 6, np.minimum(m.start() + (at * 8 + 8 + 5) // 6, m.start() + len(body))], 1)
-            inner = _spread(layer, raw, source)
+        body = _BROKEN.sub("", m.group().rstrip("=")).translate({45: 43, 95: 47})
+        place = None
+        for shift in range(4):
+            part = body[shift:]
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            raw = base64.b64decode(part + "=" * (-len(part) % 4))
+            legible = _LEGIBLE.search(raw)
+            if not legible and not _PACKED.search(raw):
+                continue
+            if place is None:
+                place = m.start() + np.array([i for i, c in enumerate(m.group().rstrip("=")) if not c.isspace()])
+            bits = np.arange(len(raw)) * 8
+            first, last = place[shift + bits // 6], place[shift + (bits + 7) // 6]
+            if legible:
+                yield _spread(raw, layer.starts[first], layer.ends[last])
+            done = 0
+            for at in _PACKED.finditer(raw):
+                if at.start() < done:
+                    continue
+                packed, used = _inflated(raw[at.start() :])
+                if not packed:
+                    continue
+                done = at.start() + used
+                end = m.end() if done == len(raw) else int(last[done - 1]) + 1
+                lo, hi = layer.origin(int(first[at.start()]), end)
+                while packed:
+                    yield _spread(packed, *(np.broadcast_to(np.int64(x), len(packed)) for x in (lo, hi)))
+                    packed = _inflated(packed)[0]
+
+
+def _below(layer: Layer) -> Iterator[Layer]:
+    """The layers right below one, each made when it is asked for."""
+    for unwrap in (_percent, _escapes):
+        inner = unwrap(layer)
         if inner is not None:
             yield inner
+    yield from _base64s(layer)
 
 
 def unwrapped(text: str) -> Iterator[Layer]:
@@ -159,20 +184,20 @@ def unwrapped(text: str) -> Iterator[Layer]:
     if "%" not in text and "\\" not in text and not _BASE64.search(text):
         return
     places = np.arange(len(text), dtype=np.int64)
-    work = [Layer(text, places, places + 1)]
     seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass")).digest()}
+    work = [_below(Layer(text, places, places + 1))]
     while work:
-        layer = work.pop()
-        for inner in (_percent(layer), _escapes(layer), *_base64s(layer)):
-            if inner is None:
-                continue
-            mark = hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass")).digest()
-            # equal layers from different places of the text are different finds
-            mark += inner.starts[:1].tobytes() + inner.ends[-1:].tobytes()
-            if mark not in seen:
-                seen.add(mark)
-                work.append(inner)
-                yield inner
+        inner = next(work[-1], None)
+        if inner is None:
+            work.pop()
+            continue
+        mark = hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass")).digest()
+        # equal layers from different places of the text are different finds
+        mark += inner.starts[:1].tobytes() + inner.ends[-1:].tobytes()
+        if mark not in seen:
+            seen.add(mark)
+            work.append(_below(inner))
+            yield inner
 
 
 def scan(text: str | None) -> tuple[list[Span], list[Span]]:

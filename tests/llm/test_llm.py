@@ -137,6 +137,32 @@ def test_secrets_in_layers():
     assert secret_scan.scan(cycle) == ([], [])
 
 
+def test_secrets_in_damaged_shifted_and_wrapped_layers():
+    secret = b"password=hunter2hunter2"
+    plain = lambda x: base64.b64encode(x).decode()
+    wrapped = lambda x: base64.encodebytes(x).decode().strip()
+    hidden = [plain(b"caf" + odd + b" " + secret + b" " + odd) for odd in (
+        "\u00a0".encode(), "\ufeff".encode(), "\u200b".encode(), b"\f", b"\0", b"\xe9", b"\xff\xfe",
+    )]
+    hidden += ["caf%E9%00password%3Dhunter2hunter2%A0", "x" + "%FF%70%61%73%73word%3Dhunter2hunter2"]
+    hidden += [ahead + plain(secret) for ahead in ("name/", "a/", "some-word_", "ab-", "abc/", "file_", "x+y/z/")]
+    noise = hashlib.sha512(b"a").digest() + hashlib.sha512(b"b").digest()
+    hidden += [ahead + wrapped(gzip.compress(noise + secret + noise)) for ahead in ("", "name/", "a_")]
+    hidden += [wrapped(b"v" * k + secret + b" and more words" * 9) for k in range(30, 60)]
+    hidden += [wrapped(b"v" * 50 + secret + b" x" * 40).replace("\n", end) for end in ("\r\n", "\n    ")]
+    for h in hidden:
+        text = f"before: {h} after"
+        base, spans = secret_scan.scan(text)
+        assert any(k == "assign" and 8 <= s and e <= len(text) - 6 for k, s, e in spans if (k, s, e) not in base), h
+    # spans keep to the encoded secret, neighbours on other lines stay
+    exact = plain(b"\xe9 \xc2\xa0" + secret + b"\xff!")
+    text = f"one\n{exact}\ntwo"
+    (span,) = secret_scan.scan(text)[1]
+    assert span[0] == "assign" and base64.b64decode(exact)[4:-2] == secret and span[1] == 4 + 4 * 8 // 6 and span[2] == 4 + (27 * 8 + 5) // 6
+    packed = wrapped(gzip.compress(noise + secret))
+    assert secret_scan.redacted(f"one\n{packed}\ntwo") == "one\n[SECRET]\ntwo"
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(bpe.CHUNK, bpe.OVERLAP), (100, 40)])
 def test_bpe(docs, pairs, none, chunk, overlap):
     coder = brute.tiktoken_encoding()
