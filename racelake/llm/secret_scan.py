@@ -14,8 +14,9 @@ Spans are (kind, start, end) in code points, end exclusive. Those of the text it
 rules alone; a decoded layer only adds spans, and none that such a span already covers.
 
 Cases: null and empty texts have no spans; repeated rows give repeated results; further columns are
-ignored; an empty table gives an empty one. Decompressed data stops at ``MOST_BYTES`` a layer, the
-guard against decompression bombs; no other limit holds.
+ignored; an empty table gives an empty one. Decompressed data is scanned to its end, however long, as a stream
+of windows, and all its members; a bomb therefore costs time but not memory. Inside such a stream, compressed
+data in base64 that is escaped as well (percent or backslash) is found only if it is shorter than a window.
 """
 
 from __future__ import annotations
@@ -34,7 +35,11 @@ from racelake.llm.staging import documents
 from racelake.shipping import ship
 
 KINDS = ("assign", "access", "hex")
-MOST_BYTES = 64 << 20
+WINDOW = 1 << 20
+"""bytes of decompressed data that make a layer at a time"""
+OVERLAP = 1 << 17
+_STEP = 1 << 14
+"""bytes that are decompressed, or come out, at a time"""
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -53,6 +58,8 @@ _BASE64 = re.compile(
 _BROKEN = re.compile(r"\s+")
 # a layer without it holds neither a secret nor a region with one, all of which are longer
 _LEGIBLE = re.compile(rb"[\t\n\r\x20-\x7e]{16}")
+_SPACES = re.compile(rb" {64,}")
+_RUN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_- \t\r\n"
 _PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 
 Span = tuple[str, int, int]
@@ -126,48 +133,188 @@ def _joined(layer: Layer, out: list[str], starts: list, ends: list, at: int) ->
     return Layer(text, np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
-def _inflated(data: bytes) -> tuple[bytes, int]:
-    """What the gzip or zlib data at the start of ``data`` holds, and how many bytes that takes."""
-    if not _PACKED.match(data):
-        return b"", 0
-    inner = zlib.decompressobj(47)
-    try:
-        return inner.decompress(data, MOST_BYTES), len(data) - len(inner.unused_data)
-    except zlib.error:
-        return b"", 0
+def _cut(data: bytes) -> Iterator[bytes]:
+    for at in range(0, len(data), _STEP):
+        yield data[at : at + _STEP]
+
+
+class _Inflated:
+    """What the gzip or zlib data at the start of a stream holds, in pieces; iterated once.
+
+    Members that follow each other are one stream. Damaged data ends it behind the last byte that it gives.
+    """
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces = pieces
+        self.used = 0
+        """bytes read so far that belong to the data"""
+        self.open = True
+        """the data goes on beyond what was read"""
+        self.damaged = False
+
+    def __iter__(self) -> Iterator[bytes]:
+        inner, rest = None, b""
+        for piece in self.pieces:
+            rest += piece
+            while rest:
+                if inner is None or inner.eof:
+                    if inner is not None:
+                        self.used += len(rest) - len(rest := rest.lstrip(b"\0"))  # padding between members
+                    if len(rest) < 3:
+                        break
+                    if not _PACKED.match(rest):
+                        self.open = False
+                        return
+                    inner = zlib.decompressobj(47)
+                kept = inner.copy()
+                try:
+                    while rest and not inner.eof:
+                        out = inner.decompress(rest, _STEP)
+                        left = inner.unused_data if inner.eof else inner.unconsumed_tail
+                        self.used += len(rest) - len(left)
+                        rest = left
+                        if not inner.eof:
+                            kept = inner.copy()
+                        if out:
+                            yield out
+                except (zlib.error, ValueError):
+                    self.open, self.damaged = False, True
+                    yield from self._last(kept, rest)
+                    return
+        if inner is not None and not inner.eof:
+            try:
+                out = inner.flush()
+            except zlib.error:
+                out = b""
+            if out:
+                yield out
+        self.open = inner is not None and not inner.eof
+
+    def _last(self, inner, rest: bytes) -> Iterator[bytes]:
+        """What comes before the damage."""
+        for i in range(len(rest)):
+            try:
+                out = inner.decompress(rest[i : i + 1])
+            except zlib.error:
+                return
+            self.used += 1
+            if out:
+                yield out
+
+
+def _streams(data: bytes) -> Iterator[_Inflated]:
+    """Compressed data at the start of ``data``, then what is compressed inside that, to the innermost; none is held."""
+    depth, seen = 1, set()
+    while True:
+        def opened() -> _Inflated:
+            stream = _Inflated(_cut(data))
+            for _ in range(1, depth):
+                stream = _Inflated(iter(stream))
+            return stream
+
+        yield opened()
+        begin, digest = b"", hashlib.blake2b()
+        for piece in opened():
+            if len(begin) < 3:
+                begin += piece
+            elif not _PACKED.match(begin):
+                return
+            digest.update(piece)
+        # data that inflates to itself ends here
+        if not _PACKED.match(begin) or digest.digest() in seen:
+            return
+        seen.add(digest.digest())
+        depth += 1
+
+
+def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """A stream in windows that overlap, so that every secret and region up to ``OVERLAP`` lies whole in one.
+
+    Longer regions go on in the next window, where their alignment is found anew; those that hold compressed
+    data that goes on are kept whole.
+    """
+    held, new, size = bytearray(), 0, WINDOW
+    for piece in pieces:
+        held += piece
+        new += len(piece)
+        if len(held) < size:
+            continue
+        # a rule takes any number of them
+        held = bytearray(_SPACES.sub(b" " * 64, held))
+        if len(held) < size:
+            continue
+        window = bytes(held)
+        yield window
+        new = 0
+        del held[: _kept(window)]
+        size = max(WINDOW, 2 * len(held))
+    if new:
+        yield bytes(held)
+
+
+def _kept(window: bytes) -> int:
+    """Where the next window begins."""
+    at = len(window) - OVERLAP
+    tail = len(window.rstrip(_RUN))
+    if tail < at:
+        for m in _BASE64.finditer(window[tail:].decode("ascii")):
+            if m.end() == len(window) - tail and m.start() + tail < at and _unfinished(m.group()):
+                return m.start() + tail
+    return at
+
+
+def _decoded(region: str) -> Iterator[tuple[int, bytes]]:
+    """(shift, bytes) of a base64 region in each alignment, if there is anything in it."""
+    body = _BROKEN.sub("", region.rstrip("=")).translate({45: 43, 95: 47})
+    for shift in range(4):
+        part = body[shift:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        raw = base64.b64decode(part + "=" * (-len(part) % 4))
+        if _LEGIBLE.search(raw) or _PACKED.search(raw):
+            yield shift, raw
+
+
+def _unfinished(region: str) -> bool:
+    """Whether compressed data in a base64 region goes on beyond its end."""
+    for _, raw in _decoded(region):
+        for at in _PACKED.finditer(raw):
+            stream = _Inflated(_cut(raw[at.start() :]))
+            for _ in stream:
+                pass
+            if stream.open:
+                return True
+    return False
 
 
 def _base64s(layer: Layer) -> Iterator[Layer]:
     """Layers for every region that may be base64, in each alignment, and for compressed data inside."""
     for m in _BASE64.finditer(layer.text):
-        body = _BROKEN.sub("", m.group().rstrip("=")).translate({45: 43, 95: 47})
         place = None
-        for shift in range(4):
-            part = body[shift:]
-            part = part[: len(part) - (len(part) % 4 == 1)]
-            raw = base64.b64decode(part + "=" * (-len(part) % 4))
-            legible = _LEGIBLE.search(raw)
-            if not legible and not _PACKED.search(raw):
-                continue
+        for shift, raw in _decoded(m.group()):
             if place is None:
-                place = m.start() + np.array([i for i, c in enumerate(m.group().rstrip("=")) if not c.isspace()])
+                place = m.start() + np.flatnonzero(np.frombuffer(m.group().rstrip("=").encode(), np.uint8) > 32)
             bits = np.arange(len(raw)) * 8
             first, last = place[shift + bits // 6], place[shift + (bits + 7) // 6]
-            if legible:
+            if _LEGIBLE.search(raw):
                 yield _spread(raw, layer.starts[first], layer.ends[last])
             done = 0
             for at in _PACKED.finditer(raw):
                 if at.start() < done:
                     continue
-                packed, used = _inflated(raw[at.start() :])
-                if not packed:
+                data = raw[at.start() :]
+                whole = _Inflated(_cut(data))
+                if not sum(map(len, whole)):
                     continue
-                done = at.start() + used
-                end = m.end() if done == len(raw) else int(last[done - 1]) + 1
+                if not whole.open:
+                    done = at.start() + whole.used
+                reach = at.start() + whole.used
+                # where damaged data would have ended is unknown
+                end = m.end() if whole.damaged or reach == len(raw) else int(last[reach - 1]) + 1
                 lo, hi = layer.origin(int(first[at.start()]), end)
-                while packed:
-                    yield _spread(packed, *(np.broadcast_to(np.int64(x), len(packed)) for x in (lo, hi)))
-                    packed = _inflated(packed)[0]
+                for stream in _streams(data):
+                    for window in _windows(iter(stream)):
+                        if _LEGIBLE.search(window):
+                            yield _spread(window, *(np.broadcast_to(np.int64(x), len(window)) for x in (lo, hi)))
 
 
 def _below(layer: Layer) -> Iterator[Layer]:

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import os
 import sys
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -163,6 +164,29 @@ def test_secrets_in_damaged_shifted_and_wrapped_layers():
     assert secret_scan.redacted(f"one\n{packed}\ntwo") == "one\n[SECRET]\ntwo"
 
 
+def test_secrets_in_long_and_joined_compressed_data():
+    secret, rng = b"password=hunter2hunter2", np.random.default_rng(1)
+    plain = lambda x: base64.b64encode(x).decode()
+    noise = lambda n: rng.integers(128, 192, n, np.uint8).tobytes()
+    far = 65 << 20
+    whole = gzip.compress(noise(3000) + secret + noise(3000))
+    hidden = [
+        gzip.compress(b"\0" * far + secret), zlib.compress(secret + "x\u00e9".encode() * (far // 3)),
+        gzip.compress("\u00e9".encode() * (far // 2) + b" " + secret), gzip.compress(gzip.compress(b"\0" * far + secret)),
+        gzip.compress(b"first") + gzip.compress(b"") + b"\0" * 9 + gzip.compress(b"then " + secret), whole[: len(whole) - 2000], whole[:-6] + b"abcdef",
+        # across windows, and compressed data inside that is longer than one
+        *(gzip.compress(b"\0" * (secret_scan.WINDOW - k) + secret) for k in (1, 10, 20)),
+        gzip.compress(b"\0" * (secret_scan.WINDOW - 9) + b"password" + b" " * (2 * secret_scan.WINDOW) + b"=hunter2hunter2"),
+        gzip.compress(b"see " + base64.b64encode(gzip.compress(noise(2 * secret_scan.WINDOW) + secret)) + b" end"),
+    ]
+    for data in hidden:
+        text = f"before {plain(data)} after"
+        assert secret_scan.scan(text)[1] == [("assign", 7, len(text) - 6)], len(data)
+    # what only looks compressed
+    assert secret_scan.scan(plain(b"\x1f\x8b\x08" + noise(5000))) == ([], [])
+    assert list(map(len, secret_scan._windows(iter([b"\0" * 1000] * 5000))))[-1] <= secret_scan.WINDOW + secret_scan.OVERLAP
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(bpe.CHUNK, bpe.OVERLAP), (100, 40)])
 def test_bpe(docs, pairs, none, chunk, overlap):
     coder = brute.tiktoken_encoding()
