@@ -19,6 +19,8 @@ without spans.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +47,8 @@ NETS = {
     "email": rf"(?<!{_NAME}){_NAME}++\x20?[(\[](?:at|AT)[)\]]\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?[(\[](?:dot|DOT)[)\]]\x20?)[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
 }
-# a text without this character has no match
-NEEDED = {("email", True): "@", ("phone", True): "+", ("email", False): "at"}
+# a text without any of these characters has no match
+NEEDED = {("email", True): "@", ("phone", True): "+", ("email", False): "(["}
 
 # fixed values: word lists of the labelers
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu", "it", "nl", "ch", "at", "example", "test")
@@ -130,7 +132,8 @@ def _matches(text: Column, kind: str, pattern: str, is_rule: bool) -> Column:
     """The candidates of one pattern in a text (which holds no \\x01), as an array of spans."""
     replaced = F.regexp_replace(text, pattern, "\x01$0\x01")
     needed = NEEDED.get((kind, is_rule))
-    replaced = F.when(F.contains(text, F.lit(needed)), replaced).otherwise("") if needed else replaced
+    if needed:
+        replaced = F.when(reduce(or_, (F.contains(text, F.lit(c)) for c in needed)), replaced).otherwise("")
     # every second part is a match; its start is the length of the parts ahead
     parts = F.split(replaced, "\x01", -1)
 

@@ -78,6 +78,13 @@ def test_pii_labelers_add_what_no_rule_finds(spark):
     assert pii.posterior_of((1, 1), prior, chances) > 0.9 > 0.1 > pii.posterior_of((-1, -1), prior, chances)
 
 
+def test_pii_spelt_out_addresses(spark):
+    texts = ["JOHN.DOE (AT) MAIL (DOT) COM", "X.Y[AT]Z.ORG", "say me: john.doe (at) mail (dot) com", "a (at)", "JOHN (DOE) AT MAIL"]
+    found = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spans = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in found}
+    assert spans == {0: [("email", texts[0])], 1: [("email", texts[1])], 2: [("email", texts[2][8:])], 3: [], 4: []}
+
+
 def test_suffix_dedup(spark, docs, pairs, none):
     data = [(d, (t or "").encode()) for d, t in pairs]
     want = sorted(brute.removal_row(*x) for x in brute.repeated_bytes(data))
