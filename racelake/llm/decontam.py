@@ -11,7 +11,8 @@ one per item that it holds a window of; nothing is gathered per fingerprint.
 
 Cases: a null or empty text has no words; an item without words has no windows; ties of smallest hashes
 are the same hash and cannot lose a span; items with the same words are items of their own, rows with
-the same item_id one item; repeated documents give repeated results; further columns are ignored; empty tables on
+the same item_id one item; the words of a row without item_id are hit like any others, but it is named and
+counted in no list of items; repeated documents give repeated results; further columns are ignored; empty tables on
 either side are fine.
 """
 
@@ -76,7 +77,7 @@ def index_items(items: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
     first, and ``after`` those from its start.
     """
     own = items.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
-    own = own.filter((F.size("w") > 0) & F.col("item_id").isNotNull()).withColumn("h", _hashes("w")).withColumn("g", _grams(F.col("h"), gram))
+    own = own.filter(F.size("w") > 0).withColumn("h", _hashes("w")).withColumn("g", _grams(F.col("h"), gram))
     long = _smallest(own.filter(F.size("w") >= width), "g", width - gram + 1, "kept")
     # every place of a kept gram, also one that was not the smallest there
     long = long.select("item_id", "w", "kept", F.posexplode("g").alias("at", "fp")).filter(F.array_contains("kept", F.col("fp")))
@@ -165,7 +166,7 @@ def marked(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GR
     )["n"]
     spans = spans.select("doc_id", "row_key", covered.cast("long").alias("n_hit"))
     named = compared.select("doc_id", "row_key", "item_id").distinct().groupBy("doc_id", "row_key").agg(
-        F.sort_array(F.collect_list("item_id")).alias("item_ids")
+        F.sort_array(F.collect_list("item_id")).alias("item_ids")  # leaves out null
     )
     # both have one row per contaminated document
     both = spans.join(named, _same_row(spans, named)).select(spans["doc_id"], spans["row_key"], "n_hit", "item_ids")

@@ -289,6 +289,17 @@ def test_decontamination(spark, docs, pairs, none):
     assert decontam.marked(docs, table.filter("false")).filter("n_hit > 0").count() == 0
 
 
+def test_decontamination_by_items_without_id(spark):
+    other = " ".join(f"w{i}" for i in range(12))
+    texts = [PASSAGE, other, f"{PASSAGE} -- {other}", "lazy dog", "clean words only"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(None, PASSAGE), (None, "lazy dog"), (7, other), (None, None)], "item_id long, text string")
+    n = len(PASSAGE.split())
+    found = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in decontam.marked(docs, items).collect()}
+    assert found == {0: (n, []), 1: (12, ["7"]), 2: (n + 12, ["7"]), 3: (2, []), 4: (0, [])}
+    assert [r["doc_id"] for r in decontam.decontaminate(docs, items).collect()] == [4]
+
+
 def test_topk(spark):
     rng = np.random.default_rng(5)
     points = (rng.normal(size=(300, 6)) + 3 * rng.integers(0, 3, (300, 1))).round(3)
