@@ -1,18 +1,17 @@
-"""Removal of repeated byte strings by blockwise suffix sorting with a difference cover.
+"""Removal of repeated byte strings by a join of fingerprints behind a difference-cover filter.
 
 A byte goes if it is covered by a string of ``width`` bytes that also starts in a document with a smaller
-id. The suffixes of all documents are sorted bucket by bucket, to a depth of ``width`` bytes: suffixes that
-stay tied are occurrences of one string, and the smallest document of a tie keeps it.
+id. Suffixes with the same leading ``width`` bytes are occurrences of one string, and the smallest document that
+holds it keeps it. They meet by a fingerprint of those bytes, bucket by bucket.
 
-Sorting every suffix would move many times the text. The difference cover avoids that: of ``PERIOD`` places
+Joining every suffix would move many times the text. A difference cover avoids that: of ``PERIOD`` places
 those in the cover are sampled, so that any two places have a distance at which both are sampled. The
-cover samples are ranked first (by their leading ``width - PERIOD + 1`` bytes, one suffix bucket at a time). Two
-suffixes that tie to the full depth have tied samples inside that depth, so a suffix none of whose samples is
-tied with another document's is settled by the sample ranks alone. Only the others are sorted, again
-one bucket at a time. Of documents with the same whole text only the smallest takes part.
+cover samples are joined first (by fingerprints of their leading ``width - PERIOD + 1`` bytes), which tells of each,
+by one bit, whether another block holds it too. Two suffixes that tie to the full depth have tied samples inside
+that depth, so a suffix none of whose samples is tied is settled. Only the others are joined, by fingerprints of
+all ``width`` bytes. Samples get no ranks, and suffixes no order: only ties decide the result. Of documents with the same whole text only the smallest takes part.
 
-Keys are fingerprints of the leading bytes: the order in a bucket is that of the fingerprints, which keeps ties
-together as well as byte order would. Suffixes travel packed, by blocks of documents: per block and bucket one row
+A bucket is sorted by fingerprint to bring ties together. Suffixes travel packed, by blocks of documents: per block and bucket one row
 with the sorted distinct keys, answered by one bit per key. The text itself is written once, bucketed by block, and
 is read in place by both joins with the answers.
 
