@@ -1,7 +1,8 @@
 """The queries of this folder."""
 
 from racelake.llm import (
-    bpe, decontam, language, ngram_join, pii, secret_scan, sharding, suffix_dedup, token_store, topk,
+    bpe, decontam, hard_negatives, language, merkle, ngram_join, packing, pii, secret_scan, sharding, suffix_dedup,
+    token_store, topk,
 )
 
 QUERIES = {
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_ngram_join": ngram_join.query,
     "op9_decontamination": decontam.query,
     "op10_topk": topk.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_packing": packing.query,
 }
 
 

@@ -21,7 +21,6 @@ table makes an empty store.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from racelake.llm import token_ids
 from racelake.llm.staging import documents, staged
 from racelake.shipping import ship
 
@@ -42,11 +42,8 @@ WIDTHS = (8, 8, 16)
 BLOCK = 64
 """bytes of bitmap per entry of the rank directory"""
 SEGMENT = 1 << 18
-KNOWN_PIECES = 200_000
-"""text pieces whose ids a Python process remembers before it starts anew"""
 
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-_tokenizers: dict = {}
 
 SEGMENTS = (
     "part int, seq int, start_in_part long, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
@@ -121,77 +118,33 @@ def unpack(payload) -> np.ndarray:
     return value
 
 
-def _tokenizer(vocabulary: str):
-    """The tokenizer of a file with its known pieces, loaded once per Python process."""
-    if vocabulary not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizers[vocabulary] = tokenizer, {}
-    return _tokenizers[vocabulary]
-
-
-def pieces(text: str) -> list[str]:
-    """The text cut before spaces at which a byte-level pre-token must begin.
-
-    A token never reaches over a space that follows a non-space, nor over the last space of a run, and
-    what precedes either does not depend on what follows; so every piece is encoded by itself. Spaces
-    inside a longer run stay within their piece.
-    """
-    parts = text.split(" ")
-    out = [parts[0]]
-    for before, part in zip(parts, parts[1:]):
-        if (before and not before[-1].isspace()) or (part and not part[0].isspace()):
-            out.append(" " + part)
-        else:
-            out[-1] += " " + part
-    return out if out[0] else out[1:]
-
-
-def encode_texts(texts: list[str], vocabulary: str) -> list[bytes]:
-    """The ids of whole texts, as little-endian unsigned 32-bit integers.
-
-    Texts repeat most of their pieces: each is encoded once and remembered.
-    """
-    tokenizer, known = _tokenizer(vocabulary)
-    cut = [pieces(t) for t in texts]
-    if len(known) > KNOWN_PIECES:
-        known.clear()
-    new = list({p for c in cut for p in c}.difference(known))
-    for piece, encoded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[piece] = np.array(encoded.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, c)) for c in cut]
-
-
 def _write_segments(vocabulary: str):
     """Sorted (doc_id, text) rows of one range to its segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([END_ID], "<u4").tobytes()
         part, seq, start = TaskContext.get().partitionId(), 0, 0
         docs: list[int | None] = []
-        coded: list[bytes] = []
+        coded: list[np.ndarray] = []
 
         def segment() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(coded), "<u4")
+            ids = np.concatenate(coded)
             row = {
                 "part": part, "seq": seq, "start_in_part": start, "n_tokens": len(ids), "doc_ids": docs,
-                "lengths": [len(c) // 4 for c in coded], "payload": pack(ids),
+                "lengths": [len(c) for c in coded], "payload": pack(ids),
             }
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
 
         size = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                rows = batch.slice(lo, 128)
-                ids = rows.column("doc_id").to_pylist()
-                for doc, code in zip(ids, encode_texts(rows.column("text").to_pylist(), vocabulary)):
+            texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
+            for lo, hi in token_ids.slices(texts):
+                ids, counts = token_ids.encode(texts.slice(lo, hi - lo), vocabulary)
+                whole = np.split(np.insert(ids, np.cumsum(counts), END_ID), np.cumsum(counts + 1)[:-1])
+                for doc, code in zip(doc_ids[lo:hi], whole):
                     docs.append(doc)
-                    coded.append(code + end)
-                    size += len(code) // 4 + 1
+                    coded.append(code)
+                    size += len(code)
                     if size >= SEGMENT:
                         yield segment()
                         seq, start, size, docs, coded = seq + 1, start + size, 0, [], []
@@ -203,6 +156,7 @@ def _write_segments(vocabulary: str):
 
 def write(docs: DataFrame, vocabulary: str, partitions: int | None = None) -> DataFrame:
     """Encode ``docs`` (doc_id, text), write them to a new store in the shared folder, return its segments."""
+    ship(docs.sparkSession)
     partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -277,5 +231,5 @@ def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    store = write(documents(ship(spark), folder), public_tokenizers.path(VOCABULARY))
+    store = write(documents(spark, folder), public_tokenizers.path(VOCABULARY))
     return read(store).mapInArrow(_crc, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -88,7 +88,6 @@ def stored_rows(docs, vocabulary):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
     at, out = 0, []
     for doc, text in sorted(docs, key=lambda d: (d[0], d[1] or "")):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
