@@ -88,9 +88,9 @@ class Known:
         last = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1
         return ids, np.diff(last, prepend=0)
 
-    def look_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def look_up(self, pieces: list[str], remember: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, length) of each piece's ids, and the ids they point into."""
-        if len(self.slots) > KNOWN_PIECES or len(self.ids) > KNOWN_IDS:
+        if len(self.slots) > remember or len(self.ids) > KNOWN_IDS:
             self._forget()
         slots = self.slots
         words, others, long = [], [], []
@@ -130,8 +130,11 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def encode(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts of a slice (strings, null: empty) in one array, and the number of each text's ids."""
+def encode(texts: pa.Array, vocabulary: str, remember: int = KNOWN_PIECES) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts of a slice (strings, null: empty) in one array, and the number of each text's ids.
+
+    ``remember`` is the number of pieces above which those met so far are forgotten: memory against time.
+    """
     if texts.null_count:
         texts = texts.fill_null("")
     bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
@@ -144,7 +147,7 @@ def encode(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
     edges = edges[np.concatenate([[True], edges[1:] != edges[:-1]])]  # no piece is empty
     pieces = pa.Array.from_buffers(pa.string(), len(edges) - 1, [None, pa.py_buffer(edges), whole])
     coded = pieces.dictionary_encode()
-    starts, lengths, ids = _known(vocabulary).look_up(coded.dictionary.to_pylist())
+    starts, lengths, ids = _known(vocabulary).look_up(coded.dictionary.to_pylist(), remember)
     which = coded.indices.to_numpy(zero_copy_only=False)
     per_piece = lengths[which]
     ends = np.cumsum(per_piece, dtype=np.int32)

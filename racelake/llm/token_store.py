@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from racelake.llm import token_ids
-from racelake.llm.staging import documents, staged
+from racelake.llm.staging import documents, staged, tidy
 from racelake.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -42,6 +42,8 @@ WIDTHS = (8, 8, 16)
 BLOCK = 64
 """bytes of bitmap per entry of the rank directory"""
 SEGMENT = 1 << 18
+KNOWN_PIECES = 250_000
+"""text pieces whose ids a Python process remembers; sorting takes memory beside it"""
 
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
@@ -139,7 +141,7 @@ def _write_segments(vocabulary: str):
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
             for lo, hi in token_ids.slices(texts):
-                ids, counts = token_ids.encode(texts.slice(lo, hi - lo), vocabulary)
+                ids, counts = token_ids.encode(texts.slice(lo, hi - lo), vocabulary, KNOWN_PIECES)
                 whole = np.split(np.insert(ids, np.cumsum(counts), END_ID), np.cumsum(counts + 1)[:-1])
                 for doc, code in zip(doc_ids[lo:hi], whole):
                     docs.append(doc)
@@ -160,7 +162,7 @@ def write(docs: DataFrame, vocabulary: str, partitions: int | None = None) -> Da
     partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
-    return staged(ordered.mapInArrow(_write_segments(vocabulary), SEGMENTS), "token-store")
+    return staged(ordered.mapInArrow(tidy(_write_segments(vocabulary)), SEGMENTS), "token-store")
 
 
 def with_starts(segments: DataFrame) -> DataFrame:

@@ -60,11 +60,10 @@ def test_token_ids_are_the_library_s():
 
 def test_token_ids_of_slices_and_after_forgetting(monkeypatch):
     monkeypatch.setattr(token_ids, "STEP", 64)
-    monkeypatch.setattr(token_ids, "KNOWN_PIECES", 5)
     texts = pa.array([None if t is None else t[:200] for t in TEXTS] * 3)
     found, rows = [], 0
     for lo, hi in token_ids.slices(texts):
-        ids, counts = token_ids.encode(texts.slice(lo, hi - lo), VOCABULARY)
+        ids, counts = token_ids.encode(texts.slice(lo, hi - lo), VOCABULARY, 5)
         found += ids.tolist()
         rows += len(counts)
         assert sum(counts) == len(ids)
