@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelake.llm.staging import documents
+from racelake.llm.staging import documents, tidy
 from racelake.shipping import ship
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -163,7 +163,7 @@ def _encode_long(rows: DataFrame, ranks: str, chunk: int, overlap: int) -> DataF
     shape = "row_id string, doc_id long, copies long, ids array<int>"
     stitched = (
         parts.filter("not broken").select("row_id", "doc_id", "copies", "chunk", "piece")
-        .mapInArrow(_encode_rows(ranks), "row_id string, doc_id long, copies long, chunk int, ids array<int>")
+        .mapInArrow(tidy(_encode_rows(ranks)), "row_id string, doc_id long, copies long, chunk int, ids array<int>")
         .groupBy("row_id").agg(
             F.first("doc_id").alias("doc_id"), F.first("copies").alias("copies"),
             F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda c: c["ids"])).alias("ids"),
@@ -173,7 +173,7 @@ def _encode_long(rows: DataFrame, ranks: str, chunk: int, overlap: int) -> DataF
         parts.filter("broken").groupBy("row_id").agg(
             F.first("doc_id").alias("doc_id"), F.first("copies").alias("copies"),
             F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("chunk", "piece"))), lambda c: c["piece"])).alias("text"),
-        ).mapInArrow(_encode_rows(ranks), shape)
+        ).mapInArrow(tidy(_encode_rows(ranks)), shape)
     )
     once = stitched.unionByName(whole)
     return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", "ids")
@@ -184,7 +184,7 @@ def encode(docs: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int = OVERL
     if not 8 <= overlap <= chunk:
         raise ValueError("the overlap must be at least 8 characters and at most a chunk")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    short = rows.filter(F.length("text") <= chunk).mapInArrow(_encode_rows(ranks), "doc_id long, ids array<int>")
+    short = rows.filter(F.length("text") <= chunk).mapInArrow(tidy(_encode_rows(ranks)), "doc_id long, ids array<int>")
     key = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"), 256)
     long = rows.filter(F.length("text") > chunk).select(key.alias("row_id"), "doc_id", "text")
     return short.unionByName(_encode_long(long, ranks, chunk, overlap))
@@ -228,7 +228,7 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
 def digests(encoded: DataFrame, ranks: str, with_ids: bool = False) -> DataFrame:
     """Token count, digest of the decimal ids and digest of the decoded bytes of rows (doc_id, ids)."""
     shape = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return encoded.select("doc_id", "ids").mapInArrow(_digest(ranks, with_ids), shape)
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(_digest(ranks, with_ids)), shape)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from racelake.llm.staging import documents
+from racelake.llm.staging import documents, pieces, tidy
 from racelake.shipping import ship
 
 DIMS = 1 << 13
@@ -103,8 +103,8 @@ class Model(NamedTuple):
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(DIMS, np.int64), 0
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
+    for piece in (p for batch in batches for p in pieces(batch)):
+        texts = piece.column("text").to_pylist()
         rows += len(texts)
         for lo in range(0, len(texts), _ROWS):
             total += (counts(texts[lo : lo + _ROWS]) > 0).sum(0)
@@ -154,7 +154,7 @@ def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -
     To the driver go one number per dimension, one per language, and the centroids.
     """
     rows = labelled.select("text", "lang").filter("text is not null and lang is not null")
-    totals = rows.select("text").mapInArrow(_frequencies, "n array<long>").select(F.posexplode("n").alias("at", "n"))
+    totals = rows.select("text").mapInArrow(tidy(_frequencies), "n array<long>").select(F.posexplode("n").alias("at", "n"))
     found = dict(totals.groupBy("at").agg(F.sum("n")).collect())
     n = found.get(0, 0)
     df = np.array([found.get(i + 1, 0) for i in range(DIMS)], np.float64)
@@ -204,18 +204,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # (centroids + 1) * DIMS floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = classify(batch.column("text").to_pylist(), shared.value)
+        for piece in (p for batch in batches for p in pieces(batch)):
+            found = classify(piece.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns, pa.array([f[0] for f in found], pa.string()),
+                    *piece.columns, pa.array([f[0] for f in found], pa.string()),
                     pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_()),
                 ],
-                names=[*batch.schema.names, "lang_pred", "score", "accepted"],
+                names=[*piece.schema.names, "lang_pred", "score", "accepted"],
             )
 
     schema = StructType(list(rows.schema)).add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def held_out():

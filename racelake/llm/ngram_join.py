@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from racelake.llm.shingles import mix, shingle_set, word_hashes
-from racelake.llm.staging import documents, staged
+from racelake.llm.staging import documents, staged, tidy
 from racelake.shipping import ship
 
 CLASSES = 16
@@ -217,7 +217,7 @@ def _sets_of(pairs: DataFrame, node_rows: DataFrame, rows: DataFrame, k: int) ->
     for r in words:
         bitmap[r["word"]] = np.int64(r["bits"]).view(np.uint64)
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-    found = rows.select("row_key", "text").mapInArrow(_tokens_of(k, shared), "node long, tokens array<long>")
+    found = rows.select("row_key", "text").mapInArrow(tidy(_tokens_of(k, shared)), "node long, tokens array<long>")
     return staged(found, "shared-sets")
 
 
@@ -335,7 +335,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text")
     shape = "doc_id long, row_key long, n int, node long, odd array<long>, part int, counts binary"
-    described = staged(rows.mapInArrow(_describe(k), shape), "shingle-nodes")
+    described = staged(rows.mapInArrow(tidy(_describe(k)), shape), "shingle-nodes")
     nodes = described.filter("part is null").select("doc_id", "row_key", "n", "node")
     partial = described.filter("part is not null").select("part", "counts")
     summed = partial.repartition(PARTS, "part").mapInArrow(_add_up, "part int, counts binary").collect()
@@ -344,9 +344,9 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
         sketch.reshape(PARTS, -1)[r["part"]] += np.frombuffer(r["counts"], np.int64)
     classes = spark.sparkContext.broadcast(frequency_class(sketch))
 
-    index = rows.select("text").mapInArrow(_index(k, percent, classes), "sig long, n int, node long, place int")
+    index = rows.select("text").mapInArrow(tidy(_index(k, percent, classes)), "sig long, n int, node long, place int")
     ordered = index.repartition(F.col("sig")).sortWithinPartitions("sig", "n", "node")
-    entries = staged(ordered.mapInArrow(_repeated_entries, index.schema), "shared-entries")
+    entries = staged(ordered.mapInArrow(tidy(_repeated_entries), index.schema), "shared-entries")
 
     described_nodes = described.filter("n > 0").groupBy("node")
     node_rows = staged(

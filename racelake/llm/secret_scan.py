@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from racelake.llm.staging import documents
+from racelake.llm.staging import documents, tidy
 from racelake.shipping import ship
 
 KINDS = ("assign", "access", "hex")
@@ -389,7 +389,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, base, spans) of ``docs`` (doc_id, text); spans are arrays of (kind, start, end)."""
     span = "array<struct<kind: string, start: long, end: long>>"
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_find, f"doc_id long, base {span}, spans {span}")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(tidy(_find), f"doc_id long, base {span}, spans {span}")
 
 
 def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +400,7 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The rows with secrets taken out of their text; all other columns as they are."""
-    return docs.mapInArrow(_redact, docs.schema)
+    return docs.mapInArrow(tidy(_redact), docs.schema)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

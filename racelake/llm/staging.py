@@ -1,23 +1,22 @@
-"""Intermediate tables in the folder that the driver and all executors share."""
+"""Intermediate tables in the folder that the driver and all executors share, and the memory of Python workers."""
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folder: dict[str, str] = {}
+PIECE = 2 << 20
+"""bytes of text that a Python stage holds as strings at a time, or one longer text"""
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where it is unset (tests), a folder of this machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = _own_folder.setdefault(spark.sparkContext.applicationId, "")
-        if not folder:
-            folder = _own_folder[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="racelake-shared-")
-    return folder
+    """The cluster's ``spark.checkpoint.dir``, or a folder of the warehouse where it is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -30,3 +29,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def pieces(batch: pa.RecordBatch, size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``size`` bytes of its column ``text``, a longer text by itself."""
+    lo = held = 0
+    for i, n in enumerate(pc.binary_length(batch.column("text")).fill_null(0).to_pylist()):
+        if i > lo and held + n > size:
+            yield batch.slice(lo, i - lo)
+            lo, held = i, 0
+        held += n
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A Python stage that gives memory back when a task ends; the worker's process lives on for other stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
