@@ -6,7 +6,7 @@ derivation is one SQL text that both engines read; the rule under test is writte
 library call and once as SQL.
 """
 
-from catalogue import bronze, changes, clean, functions, incremental, reports  # noqa: F401
+from catalogue import bronze, changes, clean, functions, incremental, reports, stored, weekend  # noqa: F401
 from catalogue.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from catalogue.base import Tables, query
 from racelake.plans import bronze, weekend
-from racelake.sources import html
+from racelake.sources import html, staging
+from racelake.sources import pages as page_store
 
 c = F.col
 
@@ -76,20 +77,19 @@ def _page(cells: dict[str, str]) -> str:
     )
 
 
-def _stored(t: Tables, kind: str, cells: dict[str, str], season: int, sprint: str, number: int | None = None):
-    """The session plan for one kind of page, and a store with those pages and stale copies."""
+def _stored(t: Tables, kind: str, cells: dict[str, str], season: int, sprint: str, numbers: tuple[int, ...] = (0,)):
+    """The session plan for one kind of page (all numbers of it), and a store with those pages and stale copies."""
     races = t(f"SELECT {season} AS season, {_race_url(season)} AS url, '{sprint}' AS sprint FROM {{orders}}", spread=True)
     plan = weekend.session_plan(races).filter(c("kind") == kind)
-    if number:
-        plan = plan.filter(c("practice_no") == number)
-    path = {"old-qualifying": "qualifying/0", "practice": f"practice/{number}"}.get(kind, kind)
+    path = {"old-qualifying": "'qualifying/0'", "practice": "'practice/' || number"}.get(kind, f"'{kind}'")
+    every = f"LATERAL VIEW explode(array({', '.join(map(str, numbers))})) AS number"
     pages = t(
         f"""
-        SELECT o_orderkey * 2 AS page_id, replace({_race_url(season)}, 'race-result', '{path}') AS url, {_page(cells)} AS html,
-               '2024-05-01T00:00:00' AS scraped_at_utc FROM ({_ORDERS}) AS o
+        SELECT o_orderkey * 8 + 2 * number AS page_id, replace({_race_url(season)}, 'race-result', {path}) AS url, {_page(cells)} AS html,
+               '2024-05-01T00:00:00' AS scraped_at_utc FROM ({_ORDERS}) AS o {every}
         UNION ALL
-        SELECT o_orderkey * 2 + 1, replace({_race_url(season)}, 'race-result', '{path}'), '<h1>Stale</h1><table><tr><td>1</td></tr></table>',
-               '2024-04-01T00:00:00' FROM {{orders}} WHERE o_orderstatus = 'F'
+        SELECT o_orderkey * 8 + 2 * number + 1, replace({_race_url(season)}, 'race-result', {path}), '<h1>Stale</h1><table><tr><td>1</td></tr></table>',
+               '2024-04-01T00:00:00' FROM {{orders}} {every} WHERE o_orderstatus = 'F'
         """,
         spread=True,
     )
@@ -136,8 +136,11 @@ def _results_sql(points: str) -> str:
 _RESULT_NAMES = ["position", "car_number", "driver", "team", "laps", "time_or_retired", "points"]
 
 
-def _bronze(t: Tables, kind: str, cells: dict[str, str], season: int = 2024, sprint: str = "Y", number: int | None = None):
-    return bronze.rows_of(bronze.parse(*_stored(t, kind, cells, season, sprint, number)), kind)
+def _bronze(t: Tables, kind: str, cells: dict[str, str], season: int = 2024, sprint: str = "Y", numbers: tuple[int, ...] = (0,)):
+    """The rows of all pages of a kind, from a page store bucketed by URL."""
+    plan, pages = _stored(t, kind, cells, season, sprint, numbers)
+    store = page_store.store(pages, staging.table_name("pages"))
+    return bronze.rows_of(bronze.parse_stored(plan, store), kind)
 
 
 @query("results_from_pages", _results_sql("DOUBLE"), src=_rows(RESULT, _RESULT_NAMES, 2024, "race-result"))
@@ -233,13 +236,18 @@ def pit_from_pages(t: Tables):
     SELECT {_INT.format("position")}, {_INT.format("car_number")}, driver, team, CASE WHEN cell NOT LIKE '+%' THEN cell END AS time,
            CASE WHEN cell NOT LIKE '+%' THEN {_mss("cell")} END AS time_s, CASE WHEN cell LIKE '+%' THEN cell END AS gap,
            CASE WHEN cell LIKE '+%' THEN {_mss("cell")} END AS gap_s, CAST(NULL AS VARCHAR) AS "interval", CAST(NULL AS DOUBLE) AS interval_s,
-           {_INT.format("laps")}, {_NAMES}, {_LINEAGE}, CAST(2 AS INTEGER) AS practice_no
+           {_INT.format("laps")}, {_NAMES}, {_LINEAGE}, practice_no
     FROM src
     """,
-    src=_rows(PRACTICE, ["position", "car_number", "driver", "team", "cell", "laps"], 2024, "practice/2"),
+    src=" UNION ALL ".join(
+        f"SELECT *, CAST({n} AS INTEGER) AS practice_no FROM ("
+        + _rows(PRACTICE, ["position", "car_number", "driver", "team", "cell", "laps"], 2024, f"practice/{n}") + ")"
+        for n in (1, 2, 3)
+    ),
 )
 def practice_from_pages(t: Tables):
-    return _bronze(t, "practice", PRACTICE, sprint="N", number=2)
+    """The three practice sessions of every race."""
+    return _bronze(t, "practice", PRACTICE, sprint="N", numbers=(1, 2, 3))
 
 
 @query(
@@ -253,7 +261,7 @@ def practice_from_pages(t: Tables):
 def page_errors(t: Tables):
     """Planned pages that are not stored, or hold no result table."""
     plan, pages = _stored(t, "race-result", RESULT, 2024, "N")
-    kept = t("SELECT o_orderkey * 2 AS page_id, o_orderpriority FROM {orders} WHERE o_orderpriority <> '5-LOW'")
+    kept = t("SELECT o_orderkey * 8 AS page_id, o_orderpriority FROM {orders} WHERE o_orderpriority <> '5-LOW'")
     broken = F.when(c("o_orderpriority") == "4-NOT SPECIFIED", "<h1>Sorry</h1><table><tr><td>1</td></tr></table>")
     store = pages.join(kept, "page_id").withColumn("html", F.coalesce(broken, c("html")))
     return bronze.errors(bronze.parse(plan, store))
@@ -338,4 +346,4 @@ def races_from_index(t: Tables):
 def sprint_flag(t: Tables):
     """Races with sprint pages, and whether any of these shows results."""
     pages = _index_pages(t)
-    return bronze.sprint_races(bronze.season_races(pages), pages)
+    return bronze.sprint_races(staging.staged(bronze.season_races(pages), "season-races"), pages)

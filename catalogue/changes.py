@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue.base import Tables, query
 from racelake.operators import changes, snapshots
+from racelake.operators.shape import union_all
 from racelake.plans import gold
 
 c = F.col
@@ -59,9 +60,9 @@ def delete_where(t: Tables):
 @query(
     "delete_keys",
     """
-    SELECT 'orders' AS name, count(*) AS n FROM src
+    SELECT 'orders' AS name, o_orderkey AS id, race_id FROM src
     WHERE race_id IS NULL OR race_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
-    UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+    UNION ALL SELECT 'lineitem', l_orderkey, CAST(l_partkey AS INTEGER) FROM lineitem
     WHERE l_partkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
     """,
     src=ORDERS,
@@ -69,15 +70,31 @@ def delete_where(t: Tables):
 def delete_keys(t: Tables):
     """The same keys deleted from two tables, and what is left of each."""
     doomed = t.customer.filter(c("c_mktsegment") == "BUILDING").select(c("c_custkey").cast("int").alias("race_id"))
-    tables = {"orders": t(ORDERS), "lineitem": t.lineitem.withColumn("race_id", c("l_partkey").cast("int"))}
+    tables = {
+        "orders": t(ORDERS).select(c("o_orderkey").alias("id"), "race_id"),
+        "lineitem": t.lineitem.select(c("l_orderkey").alias("id"), c("l_partkey").cast("int").alias("race_id")),
+    }
     left = changes.delete_keys_everywhere(tables, doomed, ["race_id"])
-    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in left.items()]
-    return counts[0].unionByName(counts[1])
+    return union_all(df.select(F.lit(name).alias("name"), "id", "race_id") for name, df in left.items())
 
 
-@query("truncate_all", "SELECT o_orderkey, season, flag FROM src WHERE false", src=ORDERS)
+@query(
+    "truncate_all",
+    """
+    SELECT 'orders' AS name, o_orderkey AS id, season FROM src WHERE false
+    UNION ALL SELECT 'customer', c_custkey, NULL FROM customer UNION ALL SELECT 'supplier', s_suppkey, NULL FROM supplier
+    """,
+    src=ORDERS,
+)
 def truncate_all(t: Tables):
-    return changes.emptied(t(ORDERS)).select("o_orderkey", "season", "flag")
+    """One of three tables emptied."""
+    rows = {
+        "orders": t(ORDERS).select(c("o_orderkey").alias("id"), "season"),
+        "customer": t.customer.select(c("c_custkey").alias("id"), F.lit(None).cast("int").alias("season")),
+        "supplier": t.supplier.select(c("s_suppkey").alias("id"), F.lit(None).cast("int").alias("season")),
+    }
+    rows["orders"] = changes.emptied(rows["orders"])
+    return union_all(df.select(F.lit(name).alias("name"), "id", "season") for name, df in rows.items())
 
 
 @query("sample_copy", "SELECT * FROM src WHERE season IN (1996, 1999)", src=ORDERS)
@@ -134,21 +151,21 @@ def repair_missing(t: Tables):
 @query(
     "repair_report",
     """
-    SELECT count(*) FILTER (status = 'Finished' AND laps IS NULL AND time_or_retired IS NULL) AS before,
-           CAST(0 AS BIGINT) AS after FROM src
+    SELECT l_orderkey, l_partkey, l_linenumber, time_or_retired AS before, 'SHC' AS after FROM src
+    WHERE status = 'Finished' AND laps IS NULL AND time_or_retired IS NULL
     """,
     src=SCRATCHED,
 )
 def repair_report(t: Tables):
-    """Rows that need the repair, before and after it."""
-    rows = t(SCRATCHED)
-    cases = rows.select(changes.lacks_time().alias("before"), *rows.columns)
-    fixed = changes.mark_scratched(cases.select(*rows.columns, c("before")))
-    return fixed.agg(F.count_if("before").alias("before"), F.count_if(changes.lacks_time()).alias("after"))
+    """The rows that the repair changes, with the value before and after it."""
+    cases = t(SCRATCHED).withColumns({"before": c("time_or_retired"), "case": changes.lacks_time()}).filter("case")
+    fixed = changes.mark_scratched(cases).filter(~F.coalesce(changes.lacks_time(), F.lit(False)))
+    return fixed.select("l_orderkey", "l_partkey", "l_linenumber", "before", c("time_or_retired").alias("after"))
 
 
 # two versions of a table: the second has new prices and one order status less
-SNAPSHOTS = """
+STAMPS = ("2024-01-01T00:00:00", "2024-02-01T00:00:00")
+SNAPSHOT_ROWS = SNAPSHOTS = """
 SELECT 0 AS _version, o_orderkey, o_totalprice, '2024-01-01T00:00:00' AS written_at FROM {orders}
 UNION ALL
 SELECT 1 AS _version, o_orderkey, o_totalprice + 1, '2024-02-01T00:00:00' AS written_at FROM {orders} WHERE o_orderstatus <> 'P'

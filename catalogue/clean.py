@@ -90,22 +90,30 @@ FROM {{lineitem}}
 """
 
 
-@query(
-    "clean_qualifying",
-    f"""
+_QUALIFYING_SQL = f"""
     SELECT coalesce(CAST(position AS VARCHAR), 'NC') AS "Position", car_number AS "Car_number", team AS "Team", q1 AS "Q1", q2 AS "Q2",
            q3 AS "Q3", laps AS "Laps", CAST(round(coalesce("Q1_Segs", 0), 3) AS DOUBLE) AS "Q1_Segs",
            CAST(round(coalesce("Q2_Segs", 0), 3) AS DOUBLE) AS "Q2_Segs", CAST(round(coalesce("Q3_Segs", 0), 3) AS DOUBLE) AS "Q3_Segs", {_OUT}
     FROM src WHERE laps IS NOT NULL
-    """,
-    src=QUALIFYING,
-)
+    """
+
+
+@query("clean_qualifying", _QUALIFYING_SQL, src=QUALIFYING)
 def clean_qualifying(t: Tables):
     return silver.clean_qualifying(t(QUALIFYING))
 
 
+SPRINT_QUALIFYING = QUALIFYING.replace("l_linenumber < 5", "l_linenumber < 4").replace("'1:2'", "'1:1'")
+
+
+@query("clean_sprint_qualifying", _QUALIFYING_SQL, src=SPRINT_QUALIFYING)
+def clean_sprint_qualifying(t: Tables):
+    """Sprint qualifying: the same rules under another session's footnotes."""
+    return silver.clean_qualifying(t(SPRINT_QUALIFYING), "sprint_qualifying")
+
+
 OLD_QUALIFYING = f"""
-SELECT {_BASE}, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS position, '1:2' || l_linenumber || '.5' AS time,
+SELECT {_BASE.replace("CAST(l_suppkey AS INT) AS car_number", "CASE WHEN l_quantity > 45 THEN NULL ELSE CAST(l_suppkey AS INT) END AS car_number")}, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS position, '1:2' || l_linenumber || '.5' AS time,
        CAST(80.5 + l_linenumber AS DOUBLE) AS time_s, CASE WHEN l_quantity < 20 THEN NULL ELSE CAST(l_quantity AS INT) END AS laps,
        CAST(NULL AS INT) AS points
 FROM {{lineitem}}
@@ -158,18 +166,25 @@ FROM {{lineitem}}
 """
 
 
-@query(
-    "clean_grid",
-    f"""
+_GRID_SQL = f"""
     SELECT grid_position AS "Grid_Position", car_number AS "Car_Number", team AS "Team", time_or_note AS "Time", {_OUT}
     FROM src WHERE grid_position IS NOT NULL
-    """,
-    src=GRID,
-)
+    """
+
+
+@query("clean_grid", _GRID_SQL, src=GRID)
 def clean_grid(t: Tables):
     return silver.clean_grid(t(GRID))
 
 
+SPRINT_GRID = GRID.replace("ELSE l_linenumber END AS grid_position", "ELSE 8 - l_linenumber END AS grid_position")
+
+
+@query("clean_sprint_grid", _GRID_SQL, src=SPRINT_GRID)
+def clean_sprint_grid(t: Tables):
+    return silver.clean_grid(t(SPRINT_GRID), "sprint_grid")
+
+
 LAPS = f"""
 SELECT {_BASE}, l_linenumber AS position, CAST(l_quantity AS INT) AS lap, '1:2' || l_linenumber || '.5' AS lap_time,
        CASE WHEN l_quantity > 45 THEN NULL ELSE l_extendedprice / 7000 END AS lap_time_s
@@ -211,19 +226,27 @@ def clean_pits(t: Tables):
     return silver.clean_pit_stops(t(PITS))
 
 
-@query(
-    "race_notes",
-    """
-    SELECT trim(replace(driver_name, '*', '')) AS "Note", race_id AS "Race_Id", season AS "Season", gp_slug AS "Gp_Slug", event AS "Event"
-    FROM src, (VALUES ('Race'), ('Sprint Race'), ('Starting Grid')) AS v(event) WHERE points IS NULL
-    """,
-    src=RESULTS,
+_NOTES = " UNION ALL ".join(
+    f"""SELECT trim(replace(driver_name, '*', '')) AS "Note", race_id AS "Race_Id", season AS "Season", gp_slug AS "Gp_Slug", '{event}' AS "Event"
+        FROM {source} WHERE {marker} IS NULL"""
+    for event, source, marker in (
+        ("Race", "results", "points"), ("Sprint Race", "results", "points"), ("Qualifying", "qualifying", "laps"),
+        ("Sprint_Qualifying", "qualifying", "laps"), ("Old Qualifying", "old_qualifying", "car_number"), ("Practices", "practice", "laps"),
+        ("Starting Grid", "grid", "grid_position"), ("Sprint Starting Grid", "grid", "grid_position"),
+    )
 )
+
+
+@query("race_notes", _NOTES, results=RESULTS, qualifying=QUALIFYING, old_qualifying=OLD_QUALIFYING, practice=PRACTICE, grid=GRID)
 def race_notes(t: Tables):
-    """The footnotes of race, sprint and grid in one table."""
-    rows = t(RESULTS)
-    grid = rows.withColumn("grid_position", c("points").cast("int"))
-    return silver.race_notes({"race": rows, "sprint": rows, "grid": grid})
+    """The footnotes of all eight sessions in one table."""
+    results, qualifying, grid = t(RESULTS), t(QUALIFYING), t(GRID)
+    return silver.race_notes(
+        {
+            "race": results, "sprint": results, "qualifying": qualifying, "sprint_qualifying": qualifying,
+            "old_qualifying": t(OLD_QUALIFYING), "practice": t(PRACTICE.replace('"interval"', "`interval`")), "grid": grid, "sprint_grid": grid,
+        }
+    )
 
 
 # the date of an order as a race date text: a day, or a range of days

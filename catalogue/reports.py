@@ -55,6 +55,28 @@ def season_report(t: Tables):
     return listed.withColumn("Date", c("Date").cast("string"))
 
 
+@query(
+    "season_report_numbered",
+    """
+    SELECT *, row_number() OVER (ORDER BY "Date" NULLS FIRST, "Gp" NULLS FIRST, "Driver_Name" NULLS FIRST, "Team" NULLS FIRST,
+        "Time_Or_Retired" NULLS FIRST, "Laps" NULLS FIRST, "URL_Download" NULLS FIRST) AS "Line_No"
+    FROM (
+    SELECT "URL_Download", "Gp", strftime(day, '%Y-%m-%d') AS "Date", strftime(day, '%d %b') AS "DATE_LABEL",
+           "Driver_Name", "Team", "Time_Or_Retired", CAST(max("Laps") AS INTEGER) AS "Laps"
+    FROM (SELECT *, CAST(make_date("Season", 1, 1) + CAST(((offset_days % 365) + 365) % 365 AS INTEGER) AS DATE) AS day
+          FROM races WHERE "Season" IN (2024, 2023))
+    JOIN results USING ("Race_Id") LEFT JOIN countries USING ("Country")
+    WHERE "Position" IN ('1') AND "Status" IN ('Finished')
+    GROUP BY ALL)
+    """,
+    results=RESULTS, races=RACES, countries=COUNTRIES,
+)
+def season_report_numbered(t: Tables):
+    """The same report with the number of every line, so that its order is compared."""
+    listed = gold.numbered_winners(t(RESULTS), _races(t), t(COUNTRIES), [2024, 2023])
+    return listed.withColumn("Date", c("Date").cast("string"))
+
+
 @query(
     "star_join",
     """

@@ -19,7 +19,8 @@ from racelake.operators.shape import conform
 from racelake.plans import weekend
 from racelake.plans.layouts import LAYOUTS, is_season_index, is_sprint_table, normal_headers
 from racelake.sources import html
-from racelake.sources.pages import newest_copies, read_pages
+from racelake.sources.pages import read_pages, read_stored
+from racelake.sources.staging import staged
 
 _STRICT = ("race-result", "sprint-results")  # kinds whose missing table is an error
 
@@ -29,6 +30,11 @@ def parse(plan: DataFrame, pages: DataFrame) -> DataFrame:
     return read_pages(plan, pages, {"event_title": html.title})
 
 
+def parse_stored(plan: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same on a page store bucketed by URL."""
+    return read_stored(plan, stored, {"event_title": html.title})
+
+
 def _first_table(recognised) -> Column:
     return F.get(F.filter("tables", lambda t: recognised(normal_headers(t["headers"]))), F.lit(0))
 
@@ -151,8 +157,8 @@ def season_races(pages: DataFrame) -> DataFrame:
     """The races listed on stored season index pages, sprint flag still open."""
     index = pages.filter(F.col("url").rlike(_INDEX))
     # an index is scraped again on every run: the newest copy counts
-    newest = newest_copies(index.select(F.col("url").alias("page_url")).distinct(), index).select("page_id")
-    index = index.join(newest, "page_id", "left_semi")
+    newest = index.groupBy("url").agg(F.max(F.struct("scraped_at_utc", "page_id")).alias("_newest"))
+    index = index.join(newest.select("_newest.page_id"), "page_id", "left_semi")
     parsed = html.extract_tables(index, ["url", "scraped_at_utc"], with_links=True)
     listed = parsed.select("url", "scraped_at_utc", F.explode(_first_table(is_season_index)["rows"]).alias("row"))
     season = F.regexp_extract("url", _INDEX, 1)
@@ -182,15 +188,21 @@ def shows_sprint(no_results: Column) -> Column:
 
 
 def sprint_races(races: DataFrame, pages: DataFrame) -> DataFrame:
-    """Race URLs that have a page among the sprint kinds, and whether any shows results."""
+    """Race URLs that have a page among the sprint kinds, and whether any shows results.
+
+    ``races`` is read once for the plan; give a table if it is costly.
+    """
     empty = {"no_results": lambda markup: text.mentions(markup, "no results available")}
-    parsed = read_pages(weekend.sprint_plan(races), pages, empty)
+    parsed = read_pages(weekend.sprint_plan(races), pages, empty, with_missing=False)
     return parsed.filter(F.col("error").isNull()).groupBy("race_url").agg(has_any(shows_sprint(F.col("no_results"))).alias("has_sprint"))
 
 
 def list_races(pages: DataFrame) -> DataFrame:
-    """The races table of all stored season index pages, sprints detected from their own pages."""
-    races = season_races(pages)
+    """The races table of all stored season index pages, sprints detected from their own pages.
+
+    The index pages are parsed once: the races go to a table, from which the plan of sprint pages and the result are made.
+    """
+    races = staged(season_races(pages), "season-races")
     sprints = sprint_races(races, pages).withColumnRenamed("race_url", "url")
     flagged = attach(races, sprints, ["url"])
     sprint = F.when(F.coalesce("has_sprint", F.lit(False)), "Y").otherwise("N")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from racelake.functions import dates
 from racelake.operators.changes import correct
 from racelake.operators.lookups import star
+from racelake.operators.order import with_position
 from racelake.operators.reports import grouped, total_laps
 
 
@@ -51,11 +52,27 @@ def races_with_tracks(races: DataFrame, tracks: DataFrame) -> DataFrame:
     return star(races, (tracks.select("Track_Key", "Country"), "Track_Key"))
 
 
+REPORT_ORDER = ("Date", "Gp", "Driver_Name", "Team", "Time_Or_Retired")
+
+
 def season_winners(
     results: DataFrame, races: DataFrame, countries: DataFrame, seasons: Sequence[int],
     positions: Sequence[str] = ("1",), statuses: Sequence[str] = ("Finished",),
 ) -> DataFrame:
     """The winners of the chosen seasons by date, as the season page lists them."""
+    return _winners(results, races, countries, seasons, positions, statuses).orderBy(*REPORT_ORDER)
+
+
+def numbered_winners(
+    results: DataFrame, races: DataFrame, countries: DataFrame, seasons: Sequence[int],
+    positions: Sequence[str] = ("1",), statuses: Sequence[str] = ("Finished",),
+) -> DataFrame:
+    """The same list with every line's number, ``Line_No``; ties go by laps and flag."""
+    listed = _winners(results, races, countries, seasons, positions, statuses)
+    return with_position(listed, [*REPORT_ORDER, "Laps", "URL_Download"], "Line_No")
+
+
+def _winners(results, races, countries, seasons, positions, statuses) -> DataFrame:
     chosen = results.filter(F.col("Position").isin(*positions) & F.col("Status").isin(*statuses))
     chosen = chosen.select("Race_Id", "Driver_Name", "Team", "Laps", "Time_Or_Retired")
     held = races.filter(F.col("Season").isin(*seasons)).select("Race_Id", "Country", "Gp", "Date")
@@ -64,4 +81,4 @@ def season_winners(
     keys = ["URL_Download", "Gp", "Date", "Driver_Name", "Team", "Time_Or_Retired"]
     listed = grouped(wide, keys, {"Laps": total_laps(F.col("Laps"))})
     day = dates.report_day(F.col("Date")).alias("DATE_LABEL")
-    return listed.select("*", day).orderBy("Date", "Gp", "Driver_Name", "Team", "Time_Or_Retired")
+    return listed.select("*", day)

@@ -10,6 +10,7 @@ import re
 from collections.abc import Iterator, Sequence
 from html import unescape
 from html.entities import name2codepoint
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,9 @@ _TEXTS = pa.list_(pa.string())
 _ARROW_ROW = pa.struct([("cells", _TEXTS), ("links", pa.list_(_TEXTS))])
 _ARROW_TABLES = pa.list_(pa.struct([("headers", _TEXTS), ("rows", pa.list_(_ARROW_ROW))]))
 
+_PAGES = 512
+"""pages whose tables are gathered before they go back"""
+
 _SPACES = re.compile(r"\s{2,}|[\r\n]")
 # Span limits of the HTML standard, and elements that are never closed.
 _MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
@@ -230,7 +234,8 @@ def _header_rows(rows: list[tuple[bool, list[_Cell]]]) -> set[int]:
     return marked
 
 
-def _as_record(table: _Table, with_links: bool) -> dict:
+def _contents(table: _Table, with_links: bool) -> tuple[list[str], list[list[str | None]], list[list[list[str]]] | None]:
+    """Headers (several header rows joined), the texts of each row's cells, and their link targets if asked for."""
     rows = [row for row in table.rows if row[1]]
     tops = _header_rows(rows)
     grid = [cells for _, cells in rows]
@@ -238,7 +243,7 @@ def _as_record(table: _Table, with_links: bool) -> dict:
         grid = _grid(grid)
     width = max(map(len, grid), default=0)
     headers = [[] for _ in range(width)]
-    records = []
+    texts_of, links_of = [], [] if with_links else None
     for i, row in enumerate(grid):
         if i in tops:
             for header, cell in zip(headers, row):
@@ -250,18 +255,49 @@ def _as_record(table: _Table, with_links: bool) -> dict:
         else:
             texts = [cell.text() for cell in row]
         if any(texts):
-            links = [cell.links() for cell in row] if with_links else None
-            records.append({"cells": texts + [None] * (width - len(row)), "links": links})
-    return {"headers": [" ".join(filter(None, parts)) for parts in headers], "rows": records}
+            texts_of.append(texts + [None] * (width - len(row)))
+            if with_links:
+                links_of.append([cell.links() for cell in row])
+    return [" ".join(filter(None, parts)) for parts in headers], texts_of, links_of
+
+
+def _all_contents(html: str, with_links: bool) -> list[tuple]:
+    return [_contents(t, with_links) for t in _tables(html)]
 
 
 def parse_tables(html: str, with_links: bool = False) -> list[dict]:
-    """All tables of a page: headers (several header rows joined) and rows of cell texts.
+    """All tables of a page: headers and rows of cell texts.
 
     With links, cells also carry their link targets, cell texts keep a space between their parts
     and the first cell of a row loses the words that stand for a flag image.
     """
-    return [_as_record(t, with_links) for t in _tables(html)]
+    return [
+        {"headers": heads, "rows": [{"cells": cells, "links": links[i] if links else None} for i, cells in enumerate(rows)]}
+        for heads, rows, links in _all_contents(html, with_links)
+    ]
+
+
+def _lists(sizes: list[int], values: pa.Array) -> pa.ListArray:
+    """Values cut into lists of the given sizes."""
+    return pa.ListArray.from_arrays(pa.array(list(accumulate(sizes, initial=0)), pa.int32()), values)
+
+
+def _tables_column(pages: list[list[tuple]], with_links: bool) -> pa.Array:
+    """The tables of some pages as one column: flat values and the sizes of the lists they are cut into."""
+    tables = list(chain.from_iterable(pages))
+    rows = [r for _, found, _ in tables for r in found]
+    cells = _lists(list(map(len, rows)), pa.array(list(chain.from_iterable(rows)), pa.string()))
+    if with_links:
+        linked = [r for *_, found in tables for r in found]
+        anchors = [a for row in linked for a in row]
+        targets = _lists(list(map(len, anchors)), pa.array(list(chain.from_iterable(anchors)), pa.string()))
+        links = _lists(list(map(len, linked)), targets)
+    else:
+        links = pa.nulls(len(rows), pa.list_(_TEXTS))
+    found = _lists([len(t[1]) for t in tables], pa.StructArray.from_arrays([cells, links], fields=list(_ARROW_ROW)))
+    heads = _lists([len(t[0]) for t in tables], pa.array(list(chain.from_iterable(t[0] for t in tables)), pa.string()))
+    whole = pa.StructArray.from_arrays([heads, found], fields=list(_ARROW_TABLES.value_type))
+    return _lists(list(map(len, pages)), whole)
 
 
 def extract_tables(pages: DataFrame, keep: Sequence[str], with_links: bool = False) -> DataFrame:
@@ -275,19 +311,20 @@ def extract_tables(pages: DataFrame, keep: Sequence[str], with_links: bool = Fal
         [narrow.schema[c] for c in keep]
         + [T.StructField("tables", TABLES), T.StructField("error", T.StringType())]
     )
+
     def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, _PAGES) for b in batches for lo in range(0, b.num_rows, _PAGES)):
             found, errors = [], []
             for html in batch.column("html").to_pylist():
                 tables, error = [], None
                 try:
-                    tables = parse_tables(html, with_links)
+                    tables = _all_contents(html, with_links)
                 except Exception as problem:  # one bad page must not end the run
                     error = f"{type(problem).__name__}: {problem}"
                 found.append(tables)
                 errors.append(error)
             arrays = [batch.column(c) for c in keep]
-            arrays += [pa.array(found, _ARROW_TABLES), pa.array(errors, pa.string())]
+            arrays += [_tables_column(found, with_links), pa.array(errors, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "tables", "error"])
 
     return narrow.mapInArrow(read_batches, schema)
@@ -306,13 +343,19 @@ def unescaped(text: Column) -> Column:
     """
     named = F.create_map(*(F.lit(x) for pair in sorted(_NAMED.items()) for x in pair))
 
+    def usual(reference: Column) -> Column:
+        found = F.when(reference == "amp", "&")
+        for name in ("lt", "gt", "quot", "nbsp", "apos"):
+            found = found.when(reference == name, _NAMED[name])
+        return found
+
     def part(piece: Column, i: Column) -> Column:
         reference = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
         hexadecimal = F.when(reference.rlike("^#[xX]"), F.substring(reference, 3, 6)).otherwise(F.conv(F.substring(reference, 2, 7), 10, 16))
         code = F.lpad(hexadecimal, 8, "0")
         valid = (code > "00000000") & (F.upper(code) <= "0010FFFF") & ~F.upper(code).between("0000D800", "0000DFFF")
         numeric = F.when(reference.startswith("#") & valid, F.decode(F.unhex(code), "UTF-32"))
-        char = F.coalesce(numeric, F.try_element_at(named, reference))
+        char = F.coalesce(usual(reference), numeric, F.try_element_at(named, reference))
         rest = F.substring(piece, F.length(reference) + 2, F.length(piece))
         return F.when(i == 0, piece).when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
 

@@ -2,20 +2,22 @@
 
 The format is a parameter: Parquet by default, and any installed source (a transaction-log format
 among them) by its name. Plain Parquet cannot replace the files it is reading, so tables that are
-derived from themselves are written as a new version, or partition by partition.
+derived from themselves are written as a new version (``versions``) or changed partition by partition
+(``stored``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from datetime import datetime
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from racelake.operators.lookups import promote
+from racelake.operators.partitions import in_partitions, partition_values
 from racelake.operators.shape import cast_to, conform
-from racelake.operators.snapshots import VERSION
 from racelake.schemas import RUN_LOG, names
 
 
@@ -63,13 +65,22 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequ
     df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").partitionBy(*partition_by).save(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Replace only the partitions that occur in ``df``; all others stay as they are.
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", touched: Iterable[tuple] = (),
+) -> None:
+    """Replace only the partitions that occur in ``df``, and those named as ``touched``; all others stay as they are.
 
-    A correction of one season rewrites that season's files, not the table.
+    A correction of one season rewrites that season's files, not the table. A touched partition of which ``df``
+    has no row is left without rows.
     """
+    named = set(map(tuple, touched))
+    left = set(map(tuple, df.select(*partition_by).distinct().collect())) if named else set()
     writer = df.write.format(fmt).mode("overwrite").partitionBy(*partition_by)
     writer.option("partitionOverwriteMode", "dynamic").save(path)
+    nothing = df.drop(*partition_by).filter(F.lit(False))
+    for values in sorted(named - left, key=str):
+        folder = "/".join(f"{c}={v}" for c, v in zip(partition_by, values))
+        nothing.sparkSession.createDataFrame([], nothing.schema).write.format(fmt).mode("overwrite").save(f"{path}/{folder}")
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -85,9 +96,14 @@ def promote_table(
     spark: SparkSession, staging: str, base: str, schema: str, keys: Sequence[str],
     fmt: str = "parquet", partition_by: Sequence[str] = (),
 ) -> None:
-    """Append the new races of a staging table to its base table, cast to the base schema."""
-    incoming = cast_to(read(spark, staging, fmt), schema)
-    append(promote(incoming, read(spark, base, fmt), keys), base, fmt, partition_by)
+    """Append the new races of a staging table to its base table, cast to the base schema.
+
+    Of a partitioned base only the partitions of the incoming rows are read: a key belongs to one of them.
+    """
+    incoming, known = cast_to(read(spark, staging, fmt), schema), read(spark, base, fmt)
+    if partition_by:
+        known = known.filter(in_partitions(partition_by, partition_values(incoming, partition_by)))
+    append(promote(incoming, known, keys), base, fmt, partition_by)
 
 
 def promote_tables(
@@ -130,39 +146,19 @@ def run_log_row(spark: SparkSession, started: datetime, ended: datetime, **detai
     return literal_rows(spark, [tuple(row.get(c) for c in known)], RUN_LOG)
 
 
-# --- versions: one folder per version, complete once Spark has marked it so ---
-
-
-def _version_numbers(spark: SparkSession, path: str, marker: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}=*{marker}")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath().toString() for s in fs.globStatus(pattern) or []]
-    return sorted(int(p.split(f"{VERSION}=")[-1].split("/")[0]) for p in found)
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """The complete versions of a table; the folder of a failed write does not count."""
-    return _version_numbers(spark, path, "/_SUCCESS")
+def run_step(
+    df: DataFrame, write: Callable[[DataFrame], None], log: str, metrics: Mapping[str, Column] | None = None,
+    fmt: str = "parquet", **details: Any,
+) -> dict[str, Any]:
+    """Write a step's rows and log the run, with figures taken while the rows are written: no second pass.
 
-
-def write_version(df: DataFrame, path: str) -> int:
-    """Write a table as its next version; readers of the older ones are not disturbed."""
-    taken = _version_numbers(df.sparkSession, path, "")
-    version = taken[-1] + 1 if taken else 0
-    df.write.mode("errorifexists").parquet(f"{path}/{VERSION}={version}")
-    return version
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """A version of a table, the latest complete one by default."""
-    known = versions(spark, path)
-    wanted = version if version is not None else (known[-1] if known else None)
-    if wanted not in known:
-        raise ValueError(f"{path} has no complete version {wanted}")
-    return spark.read.parquet(f"{path}/{VERSION}={wanted}")
-
-
-def restore_version(spark: SparkSession, path: str, version: int) -> int:
-    """Make an old version the current one; the versions in between are kept."""
-    return write_version(read_version(spark, path, version), path)
+    ``metrics`` are further aggregates over the rows. All figures go to the log's comment and are returned.
+    """
+    counted, started = Observation(), datetime.now(timezone.utc).replace(tzinfo=None)
+    aggregates = {"rows": F.count(F.lit(1)), **(metrics or {})}
+    write(df.observe(counted, *(column.alias(name) for name, column in aggregates.items())))
+    figures = counted.get
+    comment = ", ".join(f"{name}={figures[name]}" for name in aggregates)
+    ended = datetime.now(timezone.utc).replace(tzinfo=None)
+    log_run(df.sparkSession, log, started, ended, fmt, Coment=comment, **details)
+    return figures

@@ -43,22 +43,6 @@ def test_promotion_is_idempotent(spark, tmp_path):
     assert sorted(map(tuple, tables.read(spark, base).collect()), key=repr) == [(1, 9.0), (2, 7.0), (2, None)]
 
 
-def test_versions(spark, tmp_path):
-    path = str(tmp_path / "v")
-    assert tables.versions(spark, path) == []
-    with pytest.raises(ValueError):
-        tables.read_version(spark, path)
-    assert tables.write_version(spark.range(1), path) == 0
-    # a version may be derived from the one before
-    assert tables.write_version(tables.read_version(spark, path).unionByName(spark.range(1, 3)), path) == 1
-    os.makedirs(tmp_path / "v" / "_version=2")  # a write that never finished
-    assert tables.versions(spark, path) == [0, 1]
-    assert tables.restore_version(spark, path, 0) == 3
-    assert tables.read_version(spark, path).count() == 1 and tables.read_version(spark, path, 1).count() == 3
-    with pytest.raises(ValueError):
-        tables.read_version(spark, path, 2)
-
-
 def test_catalog_tables_and_type_migration(spark):
     for name in ("results", "results_bk"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
