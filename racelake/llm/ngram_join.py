@@ -75,6 +75,13 @@ def _parities(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
+def _fine_parities(tokens: np.ndarray) -> np.ndarray:
+    """Parities of two to four times as many classes as tokens, a power of two: sets of any size can be told apart by them."""
+    classes = max(PARITIES, 1 << (2 * len(tokens) - 1).bit_length())
+    odd = np.bincount((mix(tokens + np.uint64(11)) & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _describe(k: int):
     """Rows to (doc_id, row_key, n, node, odd), and a partial sketch per task: (part, counts)."""
 
@@ -182,7 +189,7 @@ def _index(k: int, percent: int, shared):
 
 
 def _tokens_of(k: int, shared):
-    """Rows (row_key, text) whose key is marked in the bitmap to (node, tokens)."""
+    """Rows (row_key, text) whose key is marked in the bitmap to (node, n, fine, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
@@ -192,16 +199,20 @@ def _tokens_of(k: int, shared):
             batch = batch.filter(pa.array(marked))
             for lo in range(0, batch.num_rows, _BATCH):
                 sets = [s for s in _sets(batch.slice(lo, _BATCH).column("text"), k) if len(s)]
+                words = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    names=["node", "tokens"],
+                    [
+                        pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
+                        pa.array([_fine_parities(s) for s in sets], words), pa.array([s.view(np.int64) for s in sets], words),
+                    ],
+                    names=["node", "n", "fine", "tokens"],
                 )
 
     return run
 
 
 def _sets_of(pairs: DataFrame, node_rows: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """(node, tokens) of the nodes of pairs, and of a few others, made from their texts.
+    """(node, n, fine, tokens) of the nodes of pairs, and of a few others, made from their texts.
 
     The texts are read once more, but not moved: a bitmap of fixed size marks the rows to look at. Where
     more rows are wanted than it has bits, more sets are made than needed; the join with the pairs drops them.
@@ -217,7 +228,7 @@ def _sets_of(pairs: DataFrame, node_rows: DataFrame, rows: DataFrame, k: int) ->
     for r in words:
         bitmap[r["word"]] = np.int64(r["bits"]).view(np.uint64)
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-    found = rows.select("row_key", "text").mapInArrow(tidy(_tokens_of(k, shared)), "node long, tokens array<long>")
+    found = rows.select("row_key", "text").mapInArrow(tidy(_tokens_of(k, shared)), "node long, n int, fine array<long>, tokens array<long>")
     return staged(found, "shared-sets")
 
 
@@ -285,13 +296,31 @@ def _close(pairs: DataFrame, node_rows: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(apart <= _most_apart(both, percent)).select("a", "b")
 
 
+def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose fine parities, folded to the same number of classes, allow that they are similar enough."""
+    for side in ("a", "b"):
+        facts = sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("fine").alias(f"fine_{side}"))
+        pairs = pairs.join(facts, side)
+    words = F.least(F.size("fine_a"), F.size("fine_b"))
+
+    def folded(fine: str) -> Column:
+        # sets that can be similar differ by one doubling at most
+        halves = F.zip_with(F.slice(fine, F.lit(1), words), F.slice(fine, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(fine) == 2 * words, halves).otherwise(F.col(fine))
+
+    apart = F.aggregate(F.zip_with(folded("fine_a"), folded("fine_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    # repeated rows give a set twice
+    return pairs.filter(apart <= _most_apart(F.col("n_a") + F.col("n_b"), percent)).select("a", "b").distinct()
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) whose sets are similar enough; only sets of likely pairs are moved."""
+    pairs = staged(_likely(pairs, sets, percent), "likely-pairs")
+    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     union = F.size("ta") + F.size("tb") - both
-    # repeated rows give a set twice
     return pairs.join(a, "a").join(b, "b").filter(both * 100 >= union * percent).select("a", "b").distinct()
 
 
