@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelake.llm.staging import documents, staged
+from racelake.llm.staging import documents, free_name, staged
 
 WIDTH = 10
 GRAM = 5
@@ -181,9 +181,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: i
     """The rows of ``docs`` that hold no window of an item, with all their columns."""
     bad = staged(marked(docs, items, width, gram).filter("n_hit > 0").select("doc_id", "row_key"), "contaminated")
     key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
-    rows = docs.withColumn("_row_key", key)
-    same = (rows["_row_key"] == bad["row_key"]) & rows["doc_id"].cast("long").eqNullSafe(bad["doc_id"])
-    return rows.join(bad, same, "left_anti").drop("_row_key")
+    own, mine = free_name(docs.columns, "_row_key"), free_name(docs.columns, "_bad_key")
+    number = free_name(docs.columns, "_bad_id")
+    bad = bad.select(F.col("doc_id").alias(number), F.col("row_key").alias(mine))
+    rows = docs.withColumn(own, key)
+    same = (F.col(own) == F.col(mine)) & F.col("doc_id").cast("long").eqNullSafe(F.col(number))
+    return rows.join(bad, same, "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

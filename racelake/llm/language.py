@@ -153,6 +153,7 @@ def fit(labelled: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -
 
     To the driver go one number per dimension, one per language, and the centroids.
     """
+    ship(labelled.sparkSession)
     rows = labelled.select("text", "lang").filter("text is not null and lang is not null")
     totals = rows.select("text").mapInArrow(tidy(_frequencies), "n array<long>").select(F.posexplode("n").alias("at", "n"))
     found = dict(totals.groupBy("at").agg(F.sum("n")).collect())
@@ -201,6 +202,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred, score and accepted; only the text column is looked at."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted")]
     rows = docs.select(*kept)
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # (centroids + 1) * DIMS floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from racelake.llm.shingles import mix, shingle_set, word_hashes
-from racelake.llm.staging import documents, staged, tidy
+from racelake.llm.staging import documents, free_name, staged, tidy
 from racelake.shipping import ship
 
 CLASSES = 16
@@ -361,7 +361,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     ``component`` names the group and is null for empty sets, ``component_id`` is its smallest doc_id.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text")
     shape = "doc_id long, row_key long, n int, node long, odd array<long>, part int, counts binary"
     described = staged(rows.mapInArrow(tidy(_describe(k)), shape), "shingle-nodes")
@@ -428,11 +428,12 @@ def survivors(docs: DataFrame, k: int, percent: int) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first")
     kept = grouped.groupBy("component").agg(first).select("first.doc_id", "first.row_key")
     kept = kept.unionByName(found.filter("component is null").select("doc_id", "row_key").distinct())
-    kept = staged(kept.select(F.col("doc_id").alias("_doc_id"), F.col("row_key").alias("_kept_key")), "survivors")
-    rows = docs.withColumn("_row_key", _row_key())
-    same = (F.col("_row_key") == F.col("_kept_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
+    number, chosen, own = (free_name(docs.columns, n) for n in ("_kept_id", "_kept_key", "_row_key"))
+    kept = staged(kept.select(F.col("doc_id").alias(number), F.col("row_key").alias(chosen)), "survivors")
+    rows = docs.withColumn(own, _row_key())
+    same = (F.col(own) == F.col(chosen)) & F.col("doc_id").cast("long").eqNullSafe(F.col(number))
     # copies of a row are one document: of the same key one row stays
-    one = rows.join(kept, same).dropDuplicates(["_row_key", "_doc_id"])
+    one = rows.join(kept, same).dropDuplicates([own, number])
     return one.select(*docs.columns)
 
 

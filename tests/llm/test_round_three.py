@@ -17,7 +17,9 @@ from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from racelake.llm import hard_negatives, merkle, packing, token_ids  # noqa: E402
+import brute  # noqa: E402
+
+from racelake.llm import decontam, hard_negatives, merkle, ngram_join, packing, token_ids  # noqa: E402
 
 VOCABULARY = public_tokenizers.path(packing.VOCABULARY)
 SPECIAL = "a <|endoftext|> b<|endoftext|>c"
@@ -271,3 +273,58 @@ def test_visits_are_pruned_by_blocks(spark, monkeypatch):
     fits = greatest >= F.coalesce(F.element_at("found", -1)["score"].cast("double"), F.lit(-1e18))
     visits = hard_negatives._visits(home, blocks, fits, 8, 1).count()
     assert visits < 0.4 * blocks.count() * 30
+
+
+# --- near duplicates: long sets, near misses, clashing names ---
+
+
+def test_ngram_join_of_long_and_nearly_similar_texts(spark):
+    """Groups of long near copies, some just similar enough and some just not."""
+    draw, docs = random.Random(11), []
+    for group, (n, changes) in enumerate([(3000, 40), (3000, 130), (400, 8), (400, 16), (60, 1), (60, 3)]):
+        base = [f"g{group}w{draw.randrange(10**6)}" for _ in range(n)]
+        for _ in range(7):
+            words = list(base)
+            for at in draw.sample(range(n), changes):
+                words[at] = f"x{draw.randrange(10**9)}"
+            docs.append((len(docs), " ".join(words)))
+    want = brute.jaccard_components(docs)
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = ngram_join.join(table, 4, 85).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, found)) == sorted((d, *v) for d, v in want.items())
+    assert 6 < len({v[1] for v in want.values()}) < len(docs)
+
+
+def test_fine_parities_bound_the_difference():
+    draw = np.random.default_rng(5)
+    for n in (3, 700, 5000):
+        a = draw.integers(0, 1 << 60, n).astype(np.uint64)
+        b = np.concatenate([a[n // 7 :], draw.integers(0, 1 << 60, n // 5).astype(np.uint64)])
+        x, y = (ngram_join._fine_parities(s).view(np.uint64) for s in (a, b))
+        size = min(len(x), len(y))
+        x, y = (v if len(v) == size else v[:size] ^ v[size:] for v in (x, y))
+        apart = int(np.unpackbits((x ^ y).view(np.uint8)).sum())
+        real = len(np.setxor1d(a, b))
+        assert real / 2 < apart <= real or n == 3
+
+
+def test_clashing_columns(spark):
+    names = ["_row_key", "_doc_id", "_kept_key", "_kept_id", "_bad_key", "_bad_id", "row_key", "item_id", "node", "label"]
+    shape = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(i, t, *names) for i, t in enumerate([text, text, "quite another text", None])], shape)
+    kept = ngram_join.survivors(docs, 5, 80)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
+    items = spark.createDataFrame([("i", text)], "item_id string, text string")
+    clean = decontam.decontaminate(docs, items)
+    assert clean.columns == docs.columns and [tuple(r)[2:] for r in clean.collect()] == [tuple(names)] * 2
+
+
+def test_stage_keeps_columns_that_the_model_names_too(spark):
+    import corpus_pipeline
+
+    words = ["the house is big and the dog is here", "la casa es grande y el perro no esta"]
+    rows = [(i, (words[i % 2] + " ") * (2 + i % 3), "en" if i % 2 == 0 else "es", "own", "mine", "yes") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, lang_pred string, accepted string")
+    kept = corpus_pipeline.known_language(spark, docs, "")
+    assert kept.columns == docs.columns and {tuple(r)[3:] for r in kept.collect()} == {("own", "mine", "yes")}
