@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from racelake.llm import bpe, decontam, language, ngram_join, secret_scan
-from racelake.llm.staging import staged
+from racelake.llm.staging import free_name, staged
 from racelake.shipping import ship
 
 SHINGLE_WORDS = 5
@@ -21,7 +21,10 @@ SIMILAR_PERCENT = 80
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are close enough to some language that the labelled ones teach."""
     model = language.fit(docs)
-    return language.predict(docs, model).filter("accepted").select(*docs.columns)
+    # columns that the prediction names as well are put aside
+    aside = {c: free_name(docs.columns, f"_own_{c}") for c in docs.columns if c in ("lang_pred", "score", "accepted")}
+    known = language.predict(docs.withColumnsRenamed(aside), model).filter("accepted").drop("lang_pred", "score", "accepted")
+    return known.withColumnsRenamed({b: a for a, b in aside.items()}).select(*docs.columns)
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

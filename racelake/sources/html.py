@@ -343,23 +343,28 @@ def unescaped(text: Column) -> Column:
     """
     named = F.create_map(*(F.lit(x) for pair in sorted(_NAMED.items()) for x in pair))
 
-    def usual(reference: Column) -> Column:
-        found = F.when(reference == "amp", "&")
+    def character(reference: Column) -> Column:
+        found = F.when(reference == "amp", "&")  # the frequent ones first, without the table
         for name in ("lt", "gt", "quot", "nbsp", "apos"):
             found = found.when(reference == name, _NAMED[name])
-        return found
-
-    def part(piece: Column, i: Column) -> Column:
-        reference = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        hexadecimal = F.when(reference.rlike("^#[xX]"), F.substring(reference, 3, 6)).otherwise(F.conv(F.substring(reference, 2, 7), 10, 16))
-        code = F.lpad(hexadecimal, 8, "0")
+        code = F.lpad(
+            F.when(reference.rlike("^#[xX]"), F.substring(reference, 3, 6)).otherwise(F.conv(F.substring(reference, 2, 7), 10, 16)), 8, "0"
+        )
         valid = (code > "00000000") & (F.upper(code) <= "0010FFFF") & ~F.upper(code).between("0000D800", "0000DFFF")
-        numeric = F.when(reference.startswith("#") & valid, F.decode(F.unhex(code), "UTF-32"))
-        char = F.coalesce(usual(reference), numeric, F.try_element_at(named, reference))
-        rest = F.substring(piece, F.length(reference) + 2, F.length(piece))
-        return F.when(i == 0, piece).when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+        numeric = F.when(valid, F.decode(F.unhex(code), "UTF-32"))
+        return found.when(reference.startswith("#"), numeric).when(reference != "", F.try_element_at(named, reference))
+
+    # step by step, since a lambda computes an expression as often as it stands there
+    pattern = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+    cut = F.transform(F.split(text, "&", -1), lambda piece, i: F.struct(
+        piece.alias("piece"), F.when(i > 0, F.regexp_extract(piece, pattern, 1)).alias("reference")))
+    read = F.transform(cut, lambda p: F.struct(p["piece"].alias("piece"), p["reference"].alias("reference"), character(p["reference"]).alias("char")))
 
-    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), part), "")).otherwise(text)
+    def part(p: Column) -> Column:
+        rest = F.substring(p["piece"], F.length(p["reference"]) + 2, F.length(p["piece"]))
+        return F.when(p["reference"].isNull(), p["piece"]).when(p["char"].isNotNull(), F.concat(p["char"], rest)).otherwise(F.concat(F.lit("&"), p["piece"]))
+
+    return F.when(text.contains("&"), F.array_join(F.transform(read, part), "")).otherwise(text)
 
 
 def plain_text(markup: Column) -> Column:
@@ -384,6 +389,5 @@ def page_links(pages: DataFrame, keep: Sequence[str]) -> DataFrame:
     rows = pages.select(*keep, "url", F.posexplode(found).alias("link_no", "link"))
     href = unescaped(F.regexp_replace("link.href", "^[\"']|[\"']$", ""))
     return rows.select(
-        *keep, (F.col("link_no") + 1).alias("link_no"), plain_text(F.col("link.text")).alias("text"),
-        href.alias("href"), urls.absolute(F.col("url"), href).alias("target"),
-    )
+        *keep, "url", (F.col("link_no") + 1).alias("link_no"), plain_text(F.col("link.text")).alias("text"), href.alias("href"),
+    ).select(*keep, "link_no", "text", "href", urls.absolute(F.col("url"), F.col("href")).alias("target"))
