@@ -8,7 +8,9 @@ A candidate that no base rule found is added if that classifier is sure and some
 Base spans always stay.
 
 Everything on the rows is SQL functions: a text is cut at the matches of a rule, so positions are sums of
-lengths (in code points). To the driver comes one count per combination of kind, votes and features, at
+lengths (in code points). They are summed in strides, and the words ahead of a span are taken from the parts
+next to it, so the work on one text is its length plus its matches times ``STRIDE`` (and a square of their
+number in strides); the few spans that are added are compared with each base span. To the driver comes one count per combination of kind, votes and features, at
 most ``4 * 3**4 * 48`` numbers; the fitted weights go back as a literal map.
 
 Cases: null and empty texts have no spans; equal candidates of two nets count once; repeated rows give
@@ -19,6 +21,7 @@ without spans.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -33,6 +36,8 @@ ROUNDS = 25
 SURE = 0.95
 BEFORE = 40
 """characters ahead of a span that the context labeler reads"""
+STRIDE = 128
+"""parts of a text whose lengths are summed at a time"""
 
 # Possessive forms of the rules' patterns: the same matches, without backtracking into long runs.
 _NAME = "[A-Za-z0-9._%+-]"
@@ -128,40 +133,60 @@ def _features(match: Column, ahead: Column) -> Column:
     )
 
 
-def _matches(text: Column, kind: str, pattern: str, is_rule: bool) -> Column:
-    """The candidates of one pattern in a text (which holds no \\x01), as an array of spans."""
+def _summed(sizes: Column, start: Column, count: Column) -> Column:
+    return F.aggregate(F.slice(sizes, start + 1, count), F.lit(0), lambda a, n: a + n)
+
+
+def _cut(text: Column, kind: str, pattern: str, is_rule: bool) -> Column:
+    """A text (which holds no \x01) cut at the matches of one pattern: every second part is a match."""
     replaced = F.regexp_replace(text, pattern, "\x01$0\x01")
     needed = NEEDED.get((kind, is_rule))
     if needed:
         replaced = F.when(reduce(or_, (F.contains(text, F.lit(c)) for c in needed)), replaced).otherwise("")
-    # every second part is a match; its start is the length of the parts ahead
-    parts = F.split(replaced, "\x01", -1)
+    return F.split(replaced, "\x01", -1)
 
-    def spans(parts: Column) -> Column:
-        def span(i: Column) -> Column:
-            match = F.get(parts, i)
-            start = F.aggregate(F.slice(parts, F.lit(1), i), F.lit(0), lambda a, p: a + F.length(p))
-            valid = _valid(kind, match) if is_rule else F.lit(False)
-            return F.struct(F.lit(kind).alias("kind"), start.alias("start"), match.alias("match"), valid.alias("base"), F.lit(is_rule).alias("rule"))
 
-        none = F.array().cast("array<struct<kind: string, start: int, match: string, base: boolean, rule: boolean>>")
-        return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2)), span)).otherwise(none)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is computed once, however often and wherever the body reads it."""
+    return F.transform(F.array(value), body)[0]
 
-    return F.transform(F.array(parts), spans)[0]
 
+def _voted(parts: Column, kind: str, is_rule: bool) -> Column:
+    """The candidates of one pattern with their votes and features, from the parts of a text."""
+
+    def place(s: Column, strides: Column, i: Column) -> Column:
+        stride = F.floor(i / STRIDE).cast("int")
+        start = F.get(strides, stride) + _summed(s["sizes"], stride * STRIDE, i - stride * STRIDE)
+        # the shortest match has four characters, so these parts hold BEFORE of them or reach the text's start
+        near = F.least(i, F.lit(2 * BEFORE // 4 + 1))
+        ahead = F.right(F.array_join(F.slice(s["tails"], i - near + 1, near), ""), F.lit(BEFORE))
+        match = F.get(s["parts"], i)
+        valid = _valid(kind, match) if is_rule else F.lit(False)
+        return F.struct(start.alias("start"), ahead.alias("ahead"), match.alias("match"), valid.alias("base"))
 
-def _voted(text: Column, kind: str, found: Column) -> Column:
     def span(c: Column) -> Column:
-        ahead = F.substring(text, F.greatest(c["start"] - BEFORE + 1, F.lit(1)), F.least(c["start"], F.lit(BEFORE)))
-        match = c["match"]
-        rule = F.when(c["base"], 1).when(c["rule"], -1).otherwise(0)
+        match, ahead = c["match"], c["ahead"]
+        rule = F.when(c["base"], 1).otherwise(-1 if is_rule else 0)
         votes = F.array(rule, _gazetteer(kind, match), _context(kind, ahead), _shape(kind, match))
         return F.struct(
             F.lit(kind).alias("kind"), c["start"].alias("start"), (c["start"] + F.length(match)).alias("end"), c["base"].alias("base"),
             votes.alias("votes"), _features(match, ahead).alias("features"),
         )
 
-    return F.transform(found, span)
+    def spans(s: Column) -> Column:
+        strides = F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(s["sizes"]) / STRIDE).cast("int")), lambda b: _summed(s["sizes"], b * STRIDE, F.lit(STRIDE))
+        )
+        before = _let(strides, lambda each: F.transform(each, lambda _, b: _summed(each, F.lit(0), b)))
+        matches = F.sequence(F.lit(1), F.size(s["parts"]) - 2, F.lit(2))
+        return _let(before, lambda sums: F.transform(F.transform(matches, lambda i: place(s, sums, i)), span)).cast(f"array<{_SPAN}>")
+
+    def measured(p: Column) -> Column:
+        sizes, tails = F.transform(p, lambda x: F.length(x)), F.transform(p, lambda x: F.right(x, F.lit(BEFORE)))
+        return F.struct(p.alias("parts"), sizes.alias("sizes"), tails.alias("tails"))
+
+    none = F.array().cast(f"array<{_SPAN}>")
+    return _let(parts, lambda p: F.when(F.size(p) > 1, _let(measured(p), spans)).otherwise(none))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -169,10 +194,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     # \x01 separates matches below; it is in no pattern, so another control character does as well
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), "\x01", "\x02")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    found = {f"base_{k}": _matches(F.col("text"), k, p, True) for k, p in BASE.items()}
-    found |= {f"net_{k}": _matches(F.col("text"), k, p, False) for k, p in NETS.items()}
-    rows = rows.select("doc_id", "text", *(c.alias(n) for n, c in found.items()))
-    voted = [_voted(F.col("text"), n.split("_")[1], F.col(n)).cast(f"array<{_SPAN}>") for n in found]
+    patterns = [*((k, p, True) for k, p in BASE.items()), *((k, p, False) for k, p in NETS.items())]
+    voted = [_voted(_cut(F.col("text"), kind, p, rule), kind, rule) for kind, p, rule in patterns]
     return rows.select("doc_id", F.concat(*voted).alias("spans"))
 
 
@@ -255,9 +278,9 @@ def find(docs: DataFrame) -> DataFrame:
 
     def ordered(spans: Column) -> Column:
         keyed = F.transform(spans, lambda s: F.struct(rank[s["kind"]].alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-        return F.transform(
-            F.array_sort(F.array_distinct(keyed)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-        )
+        # equal spans are neighbours once sorted; array_distinct compares structs pair by pair
+        once = _let(F.sort_array(keyed), lambda a: F.filter(a, lambda s, i: (i == 0) | (s != F.get(a, i - 1))))
+        return F.transform(once, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
     base = F.filter("spans", lambda s: s["base"])
     added = F.filter("spans", lambda s: ~s["base"] & accepted(s))
