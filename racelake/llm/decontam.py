@@ -7,7 +7,10 @@ the items; around each occurrence of a joined one the words are compared, and th
 they agree. Items shorter than a window are their own fingerprint and must occur as a whole.
 
 Everything is DataFrame and SQL functions. To a document come one row per distinct position of a hit and
-one per item that it holds a window of; nothing is gathered per fingerprint.
+one per item that it holds a window of; nothing is gathered per fingerprint. The work on one text grows in
+proportion to its words and to the places of the items' fingerprints in it. Arrays are exploded as outer:
+of a plain explode Spark makes a filter by size, pushes it below the arrays' columns, and computes these
+anew for every element.
 
 Cases: a null or empty text has no words; an item without words has no windows; ties of smallest hashes
 are the same hash and cannot lose a span; items with the same words are items of their own, rows with
@@ -61,9 +64,14 @@ def _smallest(rows: DataFrame, grams: str, width: int, name: str) -> DataFrame:
 
 
 def _places(hashes: Column, n: int) -> Column:
-    """(fp, at, n) of the grams of n words that are among the column ``fps``."""
-    placed = F.transform(_grams(hashes, n), lambda g, i: F.struct(g.alias("fp"), i.alias("at"), F.lit(n).alias("n")))
-    return F.filter(placed, lambda p: F.array_contains("fps", p["fp"]))
+    """(fp, at, n) of all grams of n words."""
+    return F.transform(_grams(hashes, n), lambda g, i: F.struct(g.alias("fp"), i.alias("at"), F.lit(n).alias("n")))
+
+
+def _around(at: Column, reach: int, width: int) -> tuple[Column, Column]:
+    """The ``reach`` words of column ``w`` ahead of a place, nearest first, and ``width`` words from it."""
+    ahead = F.slice("w", F.greatest(at - reach + 1, F.lit(1)), F.least(at, F.lit(reach)))
+    return F.reverse(ahead), F.slice("w", at + 1, F.lit(width))
 
 
 def _hashes(words_column: str) -> Column:
@@ -79,12 +87,17 @@ def index_items(items: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
     own = items.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
     own = own.filter(F.size("w") > 0).withColumn("h", _hashes("w")).withColumn("g", _grams(F.col("h"), gram))
     long = _smallest(own.filter(F.size("w") >= width), "g", width - gram + 1, "kept")
-    # every place of a kept gram, also one that was not the smallest there
-    long = long.select("item_id", "w", "kept", F.posexplode("g").alias("at", "fp")).filter(F.array_contains("kept", F.col("fp")))
-    before = F.reverse(F.slice("w", F.greatest(F.col("at") - (width - gram) + 1, F.lit(1)), F.least(F.col("at"), F.lit(width - gram))))
-    long = long.select(
-        "fp", F.lit(gram).alias("n"), "item_id", F.lit(width).alias("need"), before.alias("before"),
-        F.slice("w", F.col("at") + 1, F.lit(width)).alias("after"),
+    long = long.withColumn("item_key", F.xxhash64("item_id", "w"))
+    # every place of a kept gram, also one that was not the smallest there; the words around it are cut
+    # before the places become rows, so no row carries its item
+    def entry(fp: Column, at: Column) -> Column:
+        before, after = _around(at, width - gram, width)
+        return F.struct(fp.alias("fp"), before.alias("before"), after.alias("after"))
+
+    entries = long.select("item_id", "item_key", F.explode_outer(F.transform("g", entry)).alias("e"))
+    kept = long.select("item_key", F.explode_outer("kept").alias("fp")).distinct()
+    long = entries.select("item_id", "item_key", "e.*").join(kept, ["item_key", "fp"], "left_semi").select(
+        "fp", F.lit(gram).alias("n"), "item_id", F.lit(width).alias("need"), "before", "after"
     )
     short = own.filter(F.size("w") < width).select(
         F.xxhash64(F.slice("h", F.lit(1), F.size("h"))).alias("fp"), F.size("w").alias("n"), "item_id",
@@ -133,20 +146,27 @@ def marked(docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GR
         )
     )
     per_row = staged(per_row, "winnowed")
-    suspects = per_row.filter(F.size("fps") > 0).select("doc_id", "row_key", "fps")
+    suspects = per_row.filter(F.size("fps") > 0).select("doc_id", "row_key")
     texts = _row_keys(docs)
     full = texts.join(suspects, _same_row(texts, suspects)).select(
-        suspects["doc_id"], suspects["row_key"], "fps", words(F.col("text")).alias("w")
-    ).withColumn("h", _hashes("w"))
-    # places of the joined fingerprints, for each length of gram
+        suspects["doc_id"], suspects["row_key"], words(F.col("text")).alias("w")
+    )
+    # places of the items' fingerprints, for each length of gram, as narrow rows; then the words around them
+    hashed = full.select("doc_id", "row_key", _hashes("w").alias("h"))
     places = F.concat(*(_places(F.col("h"), n) for n in sorted({gram, *lengths})))
-    reach = width - gram
-    at = F.col("place.at")
-    hits = full.select("doc_id", "row_key", "w", F.explode(places).alias("place")).select(
-        "doc_id", "row_key", at.alias("at"), F.col("place.fp").alias("fp"), F.col("place.n").alias("n"),
-        F.reverse(F.slice("w", F.greatest(at - reach + 1, F.lit(1)), F.least(at, F.lit(reach)))).alias("left"),
-        F.slice("w", at + 1, F.lit(width)).alias("right"),
-    ).distinct()
+    placed = hashed.select("doc_id", "row_key", F.explode_outer(places).alias("place")).select("doc_id", "row_key", "place.*")
+    placed = placed.join(index.select("fp", "n").distinct(), ["fp", "n"], "left_semi").groupBy("doc_id", "row_key").agg(
+        F.collect_set(F.struct("fp", "n", "at")).alias("places")  # at most the words of one text, a length
+    ).select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "places")
+
+    def place(p: Column) -> Column:
+        left, right = _around(p["at"], width - gram, width)
+        return F.struct(p["fp"].alias("fp"), p["n"].alias("n"), p["at"].alias("at"), left.alias("left"), right.alias("right"))
+
+    same = (F.col("row_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    hits = full.join(placed, same).select(
+        "doc_id", "row_key", F.explode_outer(F.transform("places", place)).alias("place")
+    ).select("doc_id", "row_key", "place.*").distinct()
     compared = hits.join(index, ["fp", "n"]).select(
         "doc_id", "row_key", "at", "item_id", "need",
         _agreeing(F.col("left"), F.col("before")).alias("ahead"), _agreeing(F.col("right"), F.col("after")).alias("behind"),

@@ -4,7 +4,9 @@ import hashlib
 import math
 import os
 import random
+import re
 import sys
+import time
 import zlib
 from collections import defaultdict
 
@@ -19,7 +21,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 import brute  # noqa: E402
 
-from racelake.llm import decontam, hard_negatives, merkle, ngram_join, packing, token_ids  # noqa: E402
+from racelake.llm import decontam, hard_negatives, merkle, ngram_join, packing, pii, token_ids  # noqa: E402
 
 VOCABULARY = public_tokenizers.path(packing.VOCABULARY)
 SPECIAL = "a <|endoftext|> b<|endoftext|>c"
@@ -328,3 +330,44 @@ def test_stage_keeps_columns_that_the_model_names_too(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, lang_pred string, accepted string")
     kept = corpus_pipeline.known_language(spark, docs, "")
     assert kept.columns == docs.columns and {tuple(r)[3:] for r in kept.collect()} == {("own", "mine", "yes")}
+
+
+# --- long texts ---
+
+
+def test_many_addresses_in_one_text(spark):
+    parts = [f"u{i}@m{i % 7}.org" if i % 3 else "10.0.0.1" if i % 2 else "+49 (0) 30 123456" for i in range(20000)]
+    text = "\u00fc " + " , ".join(parts) + " call 555-123-4567"
+    table = spark.createDataFrame([(1, text), (2, "u@m.org"), (3, None)], "doc_id long, text string")
+    began = time.monotonic()
+    found = {r["doc_id"]: r for r in pii.find(table).collect()}
+    assert time.monotonic() - began < 60  # minutes, when positions were summed anew for every match
+    for doc, t in ((1, text), (2, "u@m.org"), (3, "")):
+        base = brute.private_spans(t)
+        got = [(s["kind"], s["start"], s["end"]) for s in found[doc]["base"]]
+        assert got == [tuple(b[:3]) for b in base]
+    assert all(0 <= s["start"] < s["end"] <= len(text) for s in found[1]["spans"])
+
+
+def test_context_ahead_of_a_span_is_the_text_s(spark):
+    texts = ["tel +49 30 1234567", "x" * 100 + " phone: " + "+1 2 a " * 30 + "+49 30 1234567", "+1 2" * 12 + " +49 30 1234567", "\u00fc" * 50 + "+49 30 1234567"]
+    for text in texts:
+        cut = pii._cut(F.col("text"), "phone", pii.BASE["phone"], True)
+        seen = spark.createDataFrame([(text,)], "text string").select(F.explode(pii._voted(cut, "phone", True)).alias("s")).select("s.*").collect()
+        assert seen
+        for s in seen:
+            ahead = text[max(0, s["start"] - pii.BEFORE) : s["start"]].lower()
+            said = 1 if re.search(pii.CUES["phone"], ahead) else -1 if re.search(pii.AGAINST, ahead) else 0
+            assert s["votes"][2] == said and text[s["start"]] == "+"
+
+
+def test_document_equal_to_a_long_item(spark):
+    words = [f"w{i * 7919 % 15000}" for i in range(20000)]
+    texts = [" ".join(words), "x y z " + " ".join(words[500:9000]) + " end", "a " * 20000, "some other words"]
+    items = [("i1", " ".join(words)), ("i2", "a " * 500), ("i3", "other words")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id string, text string")
+    began = time.monotonic()
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"]) for r in decontam.marked(docs, table).collect()}
+    assert time.monotonic() - began < 60  # did not end when every place carried its text
+    assert got == {0: (20000, 20000, ["i1"]), 1: (8504, 8500, ["i1"]), 2: (20000, 20000, ["i2"]), 3: (3, 2, ["i3"])}
