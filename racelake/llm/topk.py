@@ -7,11 +7,17 @@ index queries and data together.
 
 Two nodes, one of queries and one of data, cannot hold a better score than
 ``<c, d> + r|d| + s|c| + rs`` (centres c, d, covering radii r, s). A query group first scores its own and its
-closest blocks; its worst kth score then prunes pairs of nodes from the root down. Only pairs that survive are joined
-and scored in full, in integers.
+closest blocks; its worst kth score then prunes pairs of nodes from the root down. In the pairs that survive, every
+query is tested against the data node by itself (``<q, d> + s|q|``, its own kth score). What is left is
+scored in full, in integers.
+
+The data stay in their blocks and the queries travel: a data row is sent once per group of up to ``BLOCK`` queries of
+near leaves, a query once per data block that may hold one of its best.
 
 Cases: rows whose vector is null, empty or holds null or non-finite components take no part, nor do rows
-without vec_id; vectors of different lengths are an error; rows repeated with the same vec_id are one row;
+without vec_id; vectors of different lengths are an error; repeated rows (vec_id and vector) are one row; of rows with
+one vec_id and different vectors each is a candidate, the smallest vector (by its components in order) is the query, and
+none is a candidate of that query; components and scores beyond a long are held at its ends;
 ties of score go to the smaller vec_id; fewer than k candidates give as many ranks; further columns are
 ignored; an empty table gives an empty one.
 """
@@ -21,12 +27,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from racelake.llm.staging import staged
+from racelake.llm.staging import staged, tidy
 from racelake.shipping import ship
 
 SCALE = 1024
@@ -47,7 +52,7 @@ def prepare(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf")))
     whole = F.transform("embedding", lambda v: F.floor(v.cast("double") * scale).cast("long"))
     kept = rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fit & finite)
-    return kept.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("x")).dropDuplicates(["vec_id"])
+    return kept.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("x")).dropDuplicates(["vec_id", "x"])
 
 
 def _net(points: np.ndarray, size: int) -> np.ndarray:
@@ -90,7 +95,8 @@ def bounds(c: np.ndarray, r: np.ndarray, d: np.ndarray, s: np.ndarray) -> np.nda
     """The best score that any pair of members of nodes (c, r) and (d, s) can have."""
     c_norm, d_norm = np.linalg.norm(c, axis=1), np.linalg.norm(d, axis=1)
     # the slack covers rounding of the centres' and radii's floats
-    return (c @ d.T + np.outer(r, d_norm) + np.outer(c_norm, s) + np.outer(r, s)) * (1 + 1e-9) + 1e-3
+    slack = np.outer(c_norm + r, d_norm + s) * 1e-9 + 1e-3
+    return c @ d.T + np.outer(r, d_norm) + np.outer(c_norm, s) + np.outer(r, s) + slack
 
 
 def _radii(tree: Tree, leaf_radius: np.ndarray) -> list[np.ndarray]:
@@ -104,8 +110,8 @@ def _radii(tree: Tree, leaf_radius: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def surviving(tree: Tree, query_radius: np.ndarray, data_radius: np.ndarray, worst: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs (query leaf, data leaf) that may hold a score of at least the query leaf's worst kth score.
+def surviving(tree: Tree, query_radius: np.ndarray, data_radius: np.ndarray, worst: np.ndarray) -> np.ndarray:
+    """Per query leaf and data leaf, whether the pair may hold a score of at least the query leaf's worst kth score.
 
     Both trees are descended together: a pair of nodes goes on only if its bound reaches the smallest worst
     score below the query node.
@@ -121,7 +127,26 @@ def surviving(tree: Tree, query_radius: np.ndarray, data_radius: np.ndarray, wor
         fits = bounds(centres, np.maximum(q_radii[level], 0), centres, np.maximum(d_radii[level], 0)) >= need[level][:, None]
         fits &= (q_radii[level] >= 0)[:, None] & (d_radii[level] >= 0)[None]
         alive = fits if alive is None else fits & alive[parents[level - 1]][:, parents[level - 1]]
-    return list(zip(*(x.tolist() for x in np.nonzero(alive))))
+    return alive
+
+
+def query_groups(tree: Tree, sizes: np.ndarray, most: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Per query leaf its first group and its number of groups: near leaves share one, a large leaf is split."""
+    path = np.arange(len(sizes))
+    keys = [path]
+    for parent in reversed(tree.parents()):
+        path = parent[path]
+        keys.append(path)
+    first, parts = np.zeros(len(sizes), int), np.maximum(-(-sizes // most), 1)
+    group, held = 0, 0
+    for leaf in np.lexsort(keys):
+        if held and held + sizes[leaf] > most:
+            group, held = group + 1, 0
+        first[leaf] = group
+        held += sizes[leaf]
+        if held > most:
+            group, held = group + parts[leaf], 0
+    return first, parts
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -142,31 +167,69 @@ def _place(tree: Tree, dims: int):
     return run
 
 
-def _score(k: int):
+def reach(tree: Tree, x: np.ndarray, leaf: np.ndarray, worst: np.ndarray, alive: np.ndarray, data_radius: np.ndarray) -> np.ndarray:
+    """Per query (vector, leaf, worst kth score) and data leaf, whether it has to be scored."""
+    zero = np.zeros(len(x))
+    return alive[leaf] & (bounds(x, zero, tree.levels[-1], np.maximum(data_radius, 0)) >= worst[:, None])
+
+
+def _travel(tree: Tree, dims: int, alive: np.ndarray, data_radius: np.ndarray):
+    """Queries with the data leaves that they have to visit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column("query_x"), dims).astype(np.float64)
+            worst = batch.column("worst").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+            visits = reach(tree, x, batch.column("leaf").to_numpy(), worst, alive, data_radius)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(visits.sum(1))]), pa.int32())
+            leaves = pa.ListArray.from_arrays(offsets, pa.array(np.nonzero(visits)[1], pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("query_id"), batch.column("query_x"), batch.column("q_block"), leaves], names=["query_id", "query_x", "q_block", "visits"]
+            )
+
+    return run
+
+
+def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Integer inner products; those beyond a long are held at its ends."""
+    largest = max(abs(int(f(m))) for m in (q, x) for f in (np.min, np.max))
+    if largest**2 * x.shape[1] < 1 << 53:  # sums of products stay exact
+        return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
+    if largest**2 * x.shape[1] < 1 << 63:
+        return q @ x.T
+    ends = np.iinfo(np.int64)
+    return np.clip(q.astype(object) @ x.T.astype(object), ends.min, ends.max).astype(np.int64)
+
+
+def _score(k: int, dims: int):
     """Rows of one (query block, data block): its queries and data, to each query's k best."""
 
-    def run(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    def run(queries: pa.Table, data: pa.Table) -> pa.Table:
+        found = [[], [], []]
         if len(queries) and len(data):
-            data = data.sort_values("vec_id")
-            ids, x = data["vec_id"].to_numpy(), np.stack(data["x"].to_numpy())
-            largest = max(abs(int(v)) for q in (queries["query_x"], data["x"]) for v in (np.stack(q.to_numpy()).min(), np.stack(q.to_numpy()).max()))
-            kind = np.float64 if largest**2 * x.shape[1] < 1 << 53 else np.int64  # sums of products stay exact
-            for lo in range(0, len(queries), 64):
-                part = queries.iloc[lo : lo + 64]
-                scores = (np.stack(part["query_x"].to_numpy()).astype(kind) @ x.T.astype(kind)).astype(np.int64)
-                for query, row in zip(part["query_id"].to_numpy(), scores):
+            data = data.sort_by("vec_id").combine_chunks()
+            ids, x = data.column("vec_id").to_numpy(), _matrix(data.column("x").combine_chunks(), dims)
+            for lo in range(0, len(queries), 256):
+                part = queries.slice(lo, 256).combine_chunks()
+                query_ids = part.column("query_id").to_numpy()
+                for query, row in zip(query_ids, _products(_matrix(part.column("query_x").combine_chunks(), dims), x)):
                     other = ids != query
-                    best = np.argsort(-row[other], kind="stable")[:k]
-                    out.append(pd.DataFrame({"query_id": query, "vec_id": ids[other][best], "score": row[other][best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+                    row, names = row[other], ids[other]
+                    if len(row) > k:  # whatever ties with the kth stays for the sort
+                        near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
+                        row, names = row[near], names[near]
+                    best = np.argsort(-row.astype(object) if len(row) and row.min() == np.iinfo(np.int64).min else -row, kind="stable")[:k]
+                    for out, values in zip(found, (np.full(len(best), query), names[best], row[best])):
+                        out.append(values)
+        columns = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in found]
+        return pa.Table.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
     return run
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def search(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
@@ -174,7 +237,7 @@ def search(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
 
     To the driver come the sample, and one radius, size and worst score per leaf.
     """
-    spark = rows.sparkSession
+    spark = ship(rows.sparkSession)
     vectors = staged(prepare(rows), "vectors")
     empty = "query_id long, rank int, vec_id long, score long"
     n = vectors.count()
@@ -187,7 +250,7 @@ def search(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
     dims = len(sample.iloc[0])
     tree = Tree(np.stack(sample.to_numpy()).astype(np.float64))
     shape = "vec_id long, x array<long>, leaf int, distance double"
-    placed = staged(vectors.mapInArrow(_place(tree, dims), shape), "vector-leaves")
+    placed = staged(vectors.mapInArrow(tidy(_place(tree, dims)), shape), "vector-leaves")
     marked = placed.withColumn("_query", F.coalesce(is_query, F.lit(False)))
     leaves = len(tree.levels[-1])
 
@@ -200,40 +263,38 @@ def search(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
         query_sizes[f["leaf"]], query_radius[f["leaf"]] = f["qn"], f["qr"] if f["qn"] else -1.0
     if not query_sizes.any():
         return spark.createDataFrame([], empty)
-    blocks, q_blocks = -(-sizes // BLOCK), -(-query_sizes // BLOCK)
-
-    def blocked(df: DataFrame, counts: np.ndarray, name: str) -> DataFrame:
-        many = F.create_map(*(F.lit(int(x)) for pair in enumerate(np.maximum(counts, 1)) for x in pair))
-        block = F.pmod(F.xxhash64("vec_id"), many[F.col("leaf")]).cast("int")
-        return df.select("vec_id", "x", "leaf", block.alias(name))
-
-    queries = blocked(marked.filter("_query"), q_blocks, "_b").select(
-        "vec_id", "x", "leaf", F.concat_ws(".", "leaf", "_b").alias("q_block")
-    )
-    data = blocked(placed, blocks, "block")
-
-    def pairs_of(pairs: list[tuple[int, int]]) -> tuple[DataFrame, DataFrame]:
-        """The pairs for the queries, one row each, and for the data, one row per leaf with its query blocks."""
-        by_leaf: dict[int, list[str]] = {}
-        for q, d in pairs:
-            by_leaf.setdefault(d, []).extend(f"{q}.{b}" for b in range(max(1, q_blocks[q])))
-        left = spark.createDataFrame([(int(q), int(d), int(blocks[d])) for q, d in pairs], "q_leaf int, leaf int, d_blocks int")
-        right = spark.createDataFrame([(int(d), q) for d, q in by_leaf.items()], "leaf int, q_blocks array<string>")
-        return left, right
-
-    def scored(pairs: list[tuple[int, int]]) -> DataFrame:
-        if not pairs:
-            return spark.createDataFrame([], "query_id long, vec_id long, score long")
-        left, right = pairs_of(pairs)
-        q = queries.join(left, queries["leaf"] == left["q_leaf"]).withColumn("d_block", F.explode(F.sequence(F.lit(0), F.col("d_blocks") - 1)))
-        q = q.select(F.col("vec_id").alias("query_id"), F.col("x").alias("query_x"), F.concat_ws(":", "q_block", left["leaf"], "d_block").alias("cell"))
-        d = data.join(right, "leaf").withColumn("q", F.explode("q_blocks")).select("vec_id", "x", F.concat_ws(":", "q", "leaf", "block").alias("cell"))
-        result = q.groupBy("cell").cogroup(d.groupBy("cell")).applyInPandas(_score(k), "query_id long, vec_id long, score long")
+    blocks = np.maximum(-(-sizes // BLOCK), 1)
+    group, parts = query_groups(tree, query_sizes)
+
+    def by_leaf(values: np.ndarray, leaf: str = "leaf") -> Column:
+        return F.get(F.array(*(F.lit(int(v)) for v in values)), F.col(leaf))
+
+    # of rows with one vec_id the smallest is the query
+    asked = marked.filter("_query").groupBy("vec_id").agg(F.min(F.struct("x", "leaf")).alias("least"))
+    queries = asked.select(F.col("vec_id").alias("query_id"), F.col("least.x").alias("query_x"), F.col("least.leaf").alias("leaf"))
+    spread = F.pmod(F.xxhash64("query_id"), by_leaf(parts).cast("long"))
+    queries = staged(queries.withColumn("q_block", (by_leaf(group) + spread).cast("int")), "queries")
+    data = placed.select("vec_id", "x", "leaf", F.pmod(F.xxhash64("vec_id", "x"), by_leaf(blocks).cast("long")).cast("int").alias("block"))
+
+    def scored(alive: np.ndarray, asking: DataFrame) -> DataFrame:
+        """The best of the pairs of leaves in ``alive``, for queries with their ``worst`` score so far."""
+        # per data leaf the ranges of groups that visit it: no more rows, and ranges in a row, than leaves
+        ranges = [(d, sorted({(int(group[q]), int(group[q] + parts[q] - 1)) for q in np.flatnonzero(alive[:, d])})) for d in range(leaves)]
+        visited = spark.createDataFrame([r for r in ranges if r[1]], "leaf int, ranges array<struct<lo: int, hi: int>>")
+        moved = asking.mapInArrow(
+            tidy(_travel(tree, dims, alive, data_radius)), "query_id long, query_x array<long>, q_block int, visits array<int>"
+        ).withColumn("leaf", F.explode("visits"))
+        moved = moved.withColumn("block", F.explode(F.sequence(F.lit(0), by_leaf(blocks) - 1)))
+        q = moved.select("query_id", "query_x", F.concat_ws(":", "q_block", "leaf", "block").alias("cell"))
+        d = data.join(F.broadcast(visited), "leaf").withColumn("range", F.explode("ranges")).withColumn(
+            "q_block", F.explode(F.sequence("range.lo", "range.hi"))
+        ).select("vec_id", "x", F.concat_ws(":", "q_block", "leaf", "block").alias("cell"))
+        result = q.groupBy("cell").cogroup(d.groupBy("cell")).applyInArrow(_score(k, dims), "query_id long, vec_id long, score long")
         return staged(result, "scores")
 
     centres = tree.levels[-1]
     closeness = centres @ centres.T
-    first = []
+    first = np.zeros((leaves, leaves), bool)
     for q in np.flatnonzero(query_sizes):
         best = [int(d) for d in np.argsort(-closeness[q], kind="stable") if sizes[d]]
         chosen = [int(q)]  # its own leaf, then the closest until there are rows enough
@@ -242,18 +303,18 @@ def search(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
                 break
             if d != q:
                 chosen.append(d)
-        first += [(int(q), d) for d in chosen]
-    begun = scored(first)
+        first[q, chosen] = True
+    begun = scored(first, queries.withColumn("worst", F.lit(None).cast("double")))
     kth = _best(begun, k).groupBy("query_id").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
-    kth = kth.withColumn("worst", F.when(F.col("n") >= k, F.col("worst")))
-    per_leaf = queries.join(kth, queries["vec_id"] == kth["query_id"], "left").groupBy("leaf").agg(
-        F.min("worst").alias("worst"), F.count_if(F.col("worst").isNull()).alias("open")
-    )
+    # a double may lie above the long it stands for; twice the rounding is taken off
+    low = F.col("worst").cast("double")
+    kth = kth.select("query_id", F.when(F.col("n") >= k, low - F.abs(low) * 1e-15).alias("worst"))
+    known = staged(queries.join(kth, "query_id", "left"), "queries-begun")
     worst = np.full(leaves, np.inf)
-    for r in per_leaf.collect():
-        worst[r["leaf"]] = -np.inf if r["open"] else r["worst"]
-    rest = sorted(set(surviving(tree, query_radius, data_radius, worst)) - set(first))
-    found = begun.unionByName(scored(rest))
+    for r in known.groupBy("leaf").agg(F.min(F.coalesce("worst", F.lit(float("-inf")))).alias("worst")).collect():
+        worst[r["leaf"]] = r["worst"]
+    rest = surviving(tree, query_radius, data_radius, worst) & ~first
+    found = begun.unionByName(scored(rest, known)) if rest.any() else begun
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 import brute  # noqa: E402
 
-from racelake.llm import decontam, hard_negatives, merkle, ngram_join, packing, pii, token_ids  # noqa: E402
+from racelake.llm import decontam, hard_negatives, merkle, ngram_join, packing, pii, suffix_dedup, token_ids, topk  # noqa: E402
 
 VOCABULARY = public_tokenizers.path(packing.VOCABULARY)
 SPECIAL = "a <|endoftext|> b<|endoftext|>c"
@@ -371,3 +371,68 @@ def test_document_equal_to_a_long_item(spark):
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"]) for r in decontam.marked(docs, table).collect()}
     assert time.monotonic() - began < 60  # did not end when every place carried its text
     assert got == {0: (20000, 20000, ["i1"]), 1: (8504, 8500, ["i1"]), 2: (20000, 20000, ["i2"]), 3: (3, 2, ["i3"])}
+
+
+def _clusters(rng, groups, each, dims):
+    centres = rng.normal(size=(groups, dims)) * 4
+    return np.concatenate([c + rng.normal(size=(each, dims)) * 0.1 for c in centres])
+
+
+def test_topk_prunes_clusters():
+    """On clustered vectors, most pairs of leaves and most visits of single queries are ruled out, and no true partner is."""
+    points = np.floor(_clusters(np.random.default_rng(2), 40, 50, 16) * 1024)
+    tree = topk.Tree(points)
+    leaf, distance = tree.leaf_of(points)
+    leaves = len(tree.levels[-1])
+    radius = np.full(leaves, -1.0)
+    np.maximum.at(radius, leaf, distance)
+    scores = points @ points.T
+    np.fill_diagonal(scores, -np.inf)
+    kth = np.sort(scores, axis=1)[:, -10]
+    worst = np.full(leaves, np.inf)
+    np.minimum.at(worst, leaf, kth)
+    alive = topk.surviving(tree, radius, radius, worst)
+    used = (radius >= 0).sum()
+    visits = topk.reach(tree, points, leaf, kth, alive, radius)
+    partners = scores >= kth[:, None]
+    assert visits[np.nonzero(partners)[0], leaf[np.nonzero(partners)[1]]].all()
+    assert alive.sum() < 0.25 * used**2
+    assert visits.sum() < 0.15 * len(points) * used
+
+
+def test_topk_query_groups():
+    tree = topk.Tree(np.random.default_rng(3).normal(size=(500, 3)))
+    sizes = np.random.default_rng(4).integers(0, 40, len(tree.levels[-1]))
+    sizes[7] = 230
+    first, parts = topk.query_groups(tree, sizes, 100)
+    held = defaultdict(float)
+    for f, p, n in zip(first, parts, sizes):
+        for g in range(f, f + p):
+            held[g] += n / p
+    assert max(held.values()) <= 100 and parts[7] == 3 and sum(held.values()) == pytest.approx(sizes.sum())
+    assert len(held) < sizes.sum() / 30
+
+
+def test_topk_rows_of_one_id_and_large_components(spark):
+    rows = [(0, [1.0, 2.0]), (0, [3.0, -1.0]), (0, [1.0, 2.0]), (1, [5.0, 5.0]), (2, [5.0, 5.0]), (2, [6.0, 4.0]), (3, [1e30, 0.0]), (4, [-1e30, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in topk.search(table, F.col("vec_id") == 0, 10).orderBy("rank").collect()]
+    top, low = (1 << 63) - 1, -(1 << 63)
+    one = 1024 * 1024
+    assert found == [(0, 1, 3, top), (0, 2, 1, 15 * one), (0, 3, 2, 15 * one), (0, 4, 2, 14 * one), (0, 5, 4, low)]
+
+
+def test_topk_many_leaves(spark):
+    """A sample as large as the tree takes, several levels, against brute force."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(3000, 4)).round(3)
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    whole = np.floor(points * 1024)
+    found = defaultdict(list)
+    for r in topk.search(table, F.col("vec_id") % 100 == 0, 10).collect():
+        found[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert len(found) == 30
+    for q, got in found.items():
+        scores = (whole @ whole[q]).astype(int)
+        want = sorted((-s, i) for i, s in enumerate(scores.tolist()) if i != q)[:10]
+        assert sorted(got) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
