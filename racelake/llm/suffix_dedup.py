@@ -9,7 +9,7 @@ those in the cover are sampled, so that any two places have a distance at which
 cover samples are joined first (by fingerprints of their leading ``width - PERIOD + 1`` bytes), which tells of each,
 by one bit, whether another block holds it too. Two suffixes that tie to the full depth have tied samples inside
 that depth, so a suffix none of whose samples is tied is settled. Only the others are joined, by fingerprints of
-all ``width`` bytes. Samples get no ranks, and suffixes no order: only ties decide the result. Of documents with the same whole text only the smallest takes part.
+all ``width`` bytes, two that are independent. Samples get no ranks, and suffixes no order: only ties decide the result. Of documents with the same whole text only the smallest takes part.
 
 A bucket is sorted by fingerprint to bring ties together. Suffixes travel packed, by blocks of documents: per block and bucket one row
 with the sorted distinct keys, answered by one bit per key. The text itself is written once, bucketed by block, and
@@ -46,8 +46,10 @@ BLOCK = 4 << 20
 BUCKET = 16 << 20
 SAMPLE_BITS = 32
 """bits of a sample's key inside its bucket; samples that seem tied and are not only cost a sort"""
-SUFFIX_BITS = 60
-"""bits of a suffix's key inside its bucket; buckets grow with the text, so that 2**66 keys and more tell strings apart"""
+SUFFIX_BITS = 48
+CHECK_BITS = 32
+"""bits of a suffix's key inside its bucket, and of the second fingerprint that is compared with it: 80 bits and those
+of the bucket. With 10**14 bytes of undecided suffixes (2**23 buckets) about 2**-11 pairs of different strings seem tied"""
 _NO_ID = np.iinfo(np.int64).max
 
 BLOCKS = "block long, doc_ids array<long>, lengths array<long>, data binary"
@@ -139,23 +141,43 @@ class Block:
         return places[places + self.width <= (self.starts + self.lengths)[owner]]
 
 
+def _by_string(codes: np.ndarray, checks: np.ndarray | None, bucket: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal strings together, by bucket and code first, and in it the first of each string."""
+    order = np.argsort(codes, kind="stable")
+    if bucket is not None:
+        order = order[np.argsort(bucket[order], kind="stable")]
+
+    def differs(column: np.ndarray | None) -> np.ndarray | bool:
+        return False if column is None else column[order][1:] != column[order][:-1]
+
+    first = np.ones(len(codes), bool)
+    first[1:] = differs(codes) | differs(bucket)
+    if checks is not None:
+        other = differs(checks) if len(codes) else np.zeros(0, bool)
+        if (other & ~first[1:]).any():  # one code, two strings: rare
+            order = np.lexsort((checks, codes) if bucket is None else (checks, codes, bucket))
+            first[1:] = differs(codes) | differs(bucket) | differs(checks)
+    return order, first
+
+
 class Keys:
     """The keys of a block's suffixes: sorted by bucket and key, equal ones together."""
 
-    def __init__(self, fingerprints: tuple[np.ndarray, np.ndarray], owner: np.ndarray, ids: np.ndarray, buckets: int, bits: int):
+    def __init__(self, fingerprints: tuple[np.ndarray, np.ndarray], owner: np.ndarray, ids: np.ndarray, buckets: int, bits: int, check_bits: int = 0):
         keys = fingerprints[0] >> np.uint64(64 - bits)
-        bucket = (fingerprints[1] % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
-        by_key = np.argsort(keys, kind="stable")
-        self.order = by_key[np.argsort(bucket[by_key], kind="stable")]
+        # the check is taken from the upper bits of the second fingerprint, the bucket from the lower ones
+        spare = fingerprints[1] & np.uint64((1 << (64 - check_bits)) - 1)
+        bucket = (spare % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+        checks = (fingerprints[1] >> np.uint64(64 - check_bits)).astype(np.uint32) if check_bits else None
+        self.order, first = _by_string(keys, checks, bucket)
         keys, bucket = keys[self.order], bucket[self.order]
-        first = np.ones(len(keys), bool)
-        first[1:] = (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])
         self.group = np.cumsum(first) - 1
         at = np.flatnonzero(first)
         self.doc = ids[owner[self.order]]
         self.least = np.minimum.reduceat(self.doc, at) if len(at) else self.doc
         self.most = np.maximum.reduceat(self.doc, at) if len(at) else self.doc
         self.code, self.bucket = keys[at], bucket[at].astype(np.int64)
+        self.check = checks[self.order][at] if check_bits else None
 
     def rows(self) -> Iterator[tuple[int, slice]]:
         """(bucket, its distinct keys) of the buckets that have any."""
@@ -180,6 +202,25 @@ def _unpack(data) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
+def _pack_ids(ids: np.ndarray) -> bytes:
+    """A document id per key: the distinct ones as sorted differences, then places among them in as few bits as they need."""
+    table, place = np.unique(ids, return_inverse=True)
+    width = int(len(table) - 1).bit_length()
+    bits = (place.reshape(-1, 1) >> np.arange(width)) & 1
+    least = int(table[0])  # may be negative; differences from it are not
+    steps = _pack((table.astype(np.uint64) - np.uint64(least & ((1 << 64) - 1))))
+    return least.to_bytes(8, "little", signed=True) + len(table).to_bytes(4, "little") + steps + np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def _unpack_ids(data: bytes, count: int) -> np.ndarray:
+    least, n = int.from_bytes(data[:8], "little", signed=True), int.from_bytes(data[8:12], "little")
+    edge = 13 + n * data[12]
+    table = (_unpack(data[12:edge]) + np.uint64(least & ((1 << 64) - 1))).view(np.int64)
+    width = (n - 1).bit_length()
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, offset=edge), count=count * width).reshape(count, width)
+    return table[bits.astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))]
+
+
 def _answers(parts: list[bytes], keys: Keys) -> np.ndarray:
     """The bits of a block's distinct keys, from the answers of the buckets in order."""
     bits = [np.unpackbits(np.frombuffer(p, np.uint8), count=s.stop - s.start) for (_, s), p in zip(keys.rows(), parts, strict=True)]
@@ -227,14 +268,12 @@ def _copies(blocks: DataFrame) -> DataFrame:
     return staged(later.groupBy("block").agg(F.sort_array(F.collect_list("at")).alias("copies")), "suffix-copies")
 
 
-def _emit(blocks: list, buckets: list, keys: list, docs: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(buckets, pa.int32()), pa.array(blocks, pa.int64()), pa.array(keys, pa.binary()), pa.array(docs, pa.binary())],
-        names=["bucket", "block", "keys", "docs"],
-    )
+def _emit(blocks: list, buckets: list, keys: list, checks: list, docs: list) -> pa.RecordBatch:
+    columns = [pa.array(buckets, pa.int32()), pa.array(blocks, pa.int64()), *(pa.array(c, pa.binary()) for c in (keys, checks, docs))]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "keys", "checks", "docs"])
 
 
-QUESTIONS = "bucket int, block long, keys binary, docs binary"
+QUESTIONS = "bucket int, block long, keys binary, checks binary, docs binary"
 
 
 def _ask_samples(width: int, buckets: int):
@@ -245,14 +284,20 @@ def _ask_samples(width: int, buckets: int):
             for number, block, _, _ in _blocks_of(batch, width):
                 _, keys = _sample_keys(block, buckets)
                 rows = [(b, _pack(keys.code[s])) for b, s in keys.rows()]
-                yield _emit([number] * len(rows), [r[0] for r in rows], [r[1] for r in rows], [None] * len(rows))
+                yield _emit([number] * len(rows), [r[0] for r in rows], [r[1] for r in rows], [None] * len(rows), [None] * len(rows))
 
     return run
 
 
 def _suffix_keys(block: Block, buckets: int, sample_answers: list[bytes]) -> tuple[np.ndarray, Keys]:
     places = block.undecided(_tied_samples(block, buckets, sample_answers))
-    return places, Keys(block.keys(places, block.width), block.owner(places), block.ids, buckets, SUFFIX_BITS)
+    return places, Keys(block.keys(places, block.width), block.owner(places), block.ids, buckets, SUFFIX_BITS, CHECK_BITS)
+
+
+def _suffix_questions(keys: Keys) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """(bucket, keys, checks, first documents) of a block; only the ids that a row needs go with it."""
+    for b, s in keys.rows():
+        yield b, _pack(keys.code[s]), keys.check[s].astype("<u4").tobytes(), _pack_ids(keys.least[s])
 
 
 def _ask_suffixes(width: int, buckets: int):
@@ -262,21 +307,12 @@ def _ask_suffixes(width: int, buckets: int):
         for batch in batches:
             for number, block, (samples,), _ in _blocks_of(batch, width):
                 _, keys = _suffix_keys(block, buckets, samples)
-                ids = np.unique(block.ids)
-                table = len(ids).to_bytes(4, "little") + ids.tobytes()
-                kind = "<u2" if len(ids) <= 1 << 16 else "<u4"
-                rows = [(b, _pack(keys.code[s]), table + np.searchsorted(ids, keys.least[s]).astype(kind).tobytes()) for b, s in keys.rows()]
-                yield _emit([number] * len(rows), *(list(c) for c in zip(*rows)) if rows else ([], [], []))
+                rows = list(zip(*_suffix_questions(keys)))
+                yield _emit([number] * len(rows[0]), *map(list, rows)) if rows else _emit([], [], [], [], [])
 
     return run
 
 
-def _first_docs(data) -> np.ndarray:
-    n = int.from_bytes(data[:4], "little")
-    ids = np.frombuffer(data, np.int64, n, 4)
-    return ids[np.frombuffer(data, "<u2" if n <= 1 << 16 else "<u4", offset=4 + 8 * n)]
-
-
 def _sort_bucket(rows: pa.Table) -> pa.Table:
     """One suffix bucket: sort the keys of all blocks together, answer each with one bit.
 
@@ -286,14 +322,16 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
     keys = [_unpack(k.as_buffer()) for k in rows.column("keys").combine_chunks()]
     sizes = [len(k) for k in keys]
     whole = np.concatenate(keys)
-    order = np.argsort(whole, kind="stable")
-    new = np.concatenate([[True], np.diff(whole[order]) != 0])
+    ranked = not rows.column("docs").null_count
+    checks = np.concatenate([np.frombuffer(c.as_buffer(), "<u4") for c in rows.column("checks").combine_chunks()]) if ranked else None
+    order, new = _by_string(whole, checks, None)
     group = np.cumsum(new) - 1
-    if rows.column("docs").null_count:
-        found = np.bincount(group)[group] > 1
-    else:
-        doc = np.concatenate([_first_docs(d.as_py()) for d in rows.column("docs").combine_chunks()])[order]
+    if ranked:
+        docs = rows.column("docs").combine_chunks()
+        doc = np.concatenate([_unpack_ids(d.as_py(), n) for d, n in zip(docs, sizes)])[order]
         found = np.minimum.reduceat(doc, np.flatnonzero(new))[group] < doc
+    else:
+        found = np.bincount(group)[group] > 1
     bits = np.empty(len(whole), bool)
     bits[order] = found
     parts = [np.packbits(b).tobytes() for b in np.split(bits, np.cumsum(sizes)[:-1])]
@@ -348,7 +386,7 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     if width < PERIOD + 7:
         raise ValueError(f"strings of less than {PERIOD + 7} bytes need a smaller period")
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
     # bucketed by block, so that the joins below read the text where it is
     name = f"suffix_blocks_{uuid.uuid4().hex}"
@@ -359,7 +397,7 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     blocks = spark.table(name)
     size = blocks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    buckets = max(32, -(-size // BUCKET))
+    buckets = max(1, -(-size // BUCKET))
     blocks = blocks.join(_copies(blocks), "block", "left")
     samples = _answered(blocks.mapInArrow(_ask_samples(width, buckets), QUESTIONS), "answers_samples")
     marked = blocks.join(samples, "block", "left")
