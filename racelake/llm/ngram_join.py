@@ -10,7 +10,7 @@ prefix token; sets that can be similar to such a small one are indexed both ways
 
 Nodes found under one index entry are compared with one of them, the hub, first. Comparing joins most
 copies of a group to one component; what remains are pairs of nodes in different components, compared
-one by one, where folded parities of their tokens do not rule them out within the join. So a large group of near copies costs its size, not its square, and every pair of nodes is
+one by one, where parities of their tokens do not rule them out within the join. So a large group of near copies costs its size, not its square, and every pair of nodes is
 either compared, or in one component already, or impossible by length or position.
 
 Frequencies come from a count sketch of fixed size over all texts. A sketch can only overestimate, which
@@ -39,9 +39,9 @@ from racelake.shipping import ship
 CLASSES = 16
 SKETCH = 1 << 20
 """counters of the frequency sketch; 8 bytes each go to the driver and back"""
+RARE = 64
+"""a token of this count is rare at every size of the corpus; the sketch cannot tell a little more, see frequency_class"""
 PARITIES = 1024
-FOLDS = 4
-"""64-bit words of folded parities that go with an index entry"""
 MARKS = 1 << 26
 """bits of the bitmap that marks rows whose sets are wanted"""
 PARTS = 16
@@ -125,9 +125,14 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequency_class(sketch: np.ndarray) -> np.ndarray:
-    """Per counter 0 for rare tokens, else 1 and up by powers of two over what chance gives a counter."""
-    usual = 2 * sketch.mean() + 64
-    return np.where(sketch > usual, 1 + np.log2(np.maximum(sketch / usual, 1)).astype(np.int64), 0).astype(np.uint64)
+    """Per counter 0 for rare tokens, else 1 and up by powers of two of the tokens over what the others give a counter.
+
+    A counter holds about ``level`` of other tokens, give or take its root. What goes beyond eight roots and ``RARE`` is a
+    token's own count: the bound hardly rises with the corpus.
+    """
+    level = float(np.median(sketch))
+    own, bound = np.maximum(sketch - level, 1), RARE + 8 * level**0.5
+    return np.where(own > bound, 1 + np.log2(np.maximum(own / bound, 1)).astype(np.int64), 0).astype(np.uint64)
 
 
 def signatures(tokens: np.ndarray, classes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -275,15 +280,9 @@ def _most_apart(both: Column, percent: int) -> Column:
     return both - 2 * F.ceil(both * percent / (100 + percent))
 
 
-def _folded(odd: str) -> list[Column]:
-    """Parities folded into ``FOLDS`` words; two sets are no further apart in these than in all words."""
-    words = PARITIES // 64
-    return [reduce(Column.bitwiseXOR, (F.get(odd, F.lit(w)) for w in range(i, words, FOLDS))).alias(f"odd_{i}") for i in range(FOLDS)]
-
-
 def _apart(a: str, b: str) -> Column:
-    """In how many folded classes two rows differ."""
-    return reduce(Column.__add__, (F.bit_count(F.col(f"{a}odd_{i}").bitwiseXOR(F.col(f"{b}odd_{i}"))) for i in range(FOLDS)))
+    """In how many parities two rows differ."""
+    return reduce(Column.__add__, (F.bit_count(F.col(f"{a}odd_{i}").bitwiseXOR(F.col(f"{b}odd_{i}"))) for i in range(PARITIES // 64)))
 
 
 def _close(pairs: DataFrame, node_rows: DataFrame, percent: int) -> DataFrame:
@@ -382,8 +381,8 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
         described_nodes.agg(F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("odd").alias("odd")), "node-rows"
     )
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        pairs = staged(_close(pairs, node_rows, percent), "close-pairs")
+    def linked(pairs: DataFrame, close: bool = False) -> DataFrame:
+        pairs = pairs if close else staged(_close(pairs, node_rows, percent), "close-pairs")
         return staged(_linked(pairs, _sets_of(pairs, node_rows, rows, k), percent), "links")
 
     tested = staged(_hub_pairs(entries, F.min(F.struct("n", "node", "place")), percent), "pairs")
@@ -394,7 +393,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
         mixed = labelled.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi").select("sig")
         open_entries = staged(labelled.join(mixed, "sig", "left_semi"), "open-entries")
         if last:
-            sides = open_entries.join(node_rows.select("node", *_folded("odd")), "node")
+            sides = open_entries.join(node_rows.select("node", *(F.get("odd", F.lit(i)).alias(f"odd_{i}") for i in range(PARITIES // 64))), "node")
             a, b = (sides.select("sig", *(F.col(c).alias(f"{s}_{c}") for c in sides.columns if c != "sig")) for s in "ab")
             # all conditions are on the two rows, so Spark tests them in the join, which gives likely pairs only
             found = a.join(b, "sig").filter(
@@ -406,7 +405,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
             found = _hub_pairs(open_entries.drop("label"), F.max(F.struct("n", "node", "place")), percent)
         pairs = staged(found.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
-        links = links.unionByName(linked(pairs))
+        links = links.unionByName(linked(pairs, close=last))
     labels = components(links)
     named_nodes = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = named_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

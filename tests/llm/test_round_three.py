@@ -436,3 +436,60 @@ def test_topk_many_leaves(spark):
         scores = (whole @ whole[q]).astype(int)
         want = sorted((-s, i) for i, s in enumerate(scores.tolist()) if i != q)[:10]
         assert sorted(got) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
+@pytest.mark.parametrize("ids", [[5], [3, 3, 3], [-4, 1 << 62, (1 << 63) - 1, -(1 << 63), -4], list(range(1000, 0, -3))])
+def test_suffix_ids_round_trip(ids):
+    ids = np.array(ids, np.int64)
+    assert suffix_dedup._unpack_ids(suffix_dedup._pack_ids(ids), len(ids)).tolist() == ids.tolist()
+
+
+def test_suffix_ids_follow_keys_not_buckets():
+    """Ids sent per key stay under a few bytes, however many buckets there are: no row carries those of its whole block."""
+    rng = np.random.default_rng(8)
+    passage = rng.integers(97, 123, 300, dtype=np.uint8).tobytes()
+    texts = [rng.integers(97, 123, 500, dtype=np.uint8).tobytes() + passage for _ in range(2000)]
+    block = suffix_dedup.Block(list(range(7, 7 + 3 * len(texts), 3)), [len(t) for t in texts], b"".join(texts), 50)
+    places = np.arange(0, block.size - 50, 3)
+    sent = {}
+    for buckets in (32, 320, 3200):
+        keys = suffix_dedup.Keys(block.keys(places, 50), block.owner(places), block.ids, buckets, suffix_dedup.SUFFIX_BITS, suffix_dedup.CHECK_BITS)
+        rows = list(suffix_dedup._suffix_questions(keys))
+        sent[buckets] = sum(len(r[3]) for r in rows) / len(keys.code)
+        assert sum(len(r[2]) for r in rows) == 4 * len(keys.code)
+    assert max(sent.values()) < 4  # a table of the block's ids in every row would be 8 * 2000 * 3200 bytes: 96 a key
+
+
+def test_strings_of_one_code_are_told_apart():
+    codes, checks = np.array([5, 7, 5, 5, 7], np.uint64), np.array([1, 2, 9, 1, 2], np.uint32)
+    order, first = suffix_dedup._by_string(codes, checks, None)
+    assert sorted(map(sorted, (g.tolist() for g in np.split(order, np.flatnonzero(first)[1:])))) == [[0, 3], [1, 4], [2]]
+    assert suffix_dedup._by_string(codes[:0], checks[:0], checks[:0])[1].tolist() == []
+
+
+def test_frequency_bound_hardly_rises():
+    """A token of 2,000 is frequent in a corpus a hundred times as large as well."""
+    rng = np.random.default_rng(9)
+    for level in (10, 1000, 10_000):
+        sketch = rng.poisson(level, ngram_join.SKETCH)
+        sketch[:5] += 2000
+        classes = ngram_join.frequency_class(sketch)
+        assert (classes[:5] > 0).all() and (classes[5:] == 0).all()
+
+
+def test_near_copies_below_the_threshold(spark):
+    """A group of near copies on both sides of the threshold, against brute force."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(90):
+        words = list(base)
+        for at in rng.sample(range(120), rng.randint(1, 5)):
+            words[at] = f"v{i}x{at}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    want = brute.jaccard_components(rows, 4, 85)
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 4, 85)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
+    assert got == {d: tuple(want[d]) for d, _ in rows}
+    assert 1 < len({c for _, c in got.values()}) < 90
