@@ -390,7 +390,9 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
     for last in (False, True):
         labels = components(links)
         labelled = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = labelled.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi").select("sig")
+        # a hub is compared with all of its entry: two nodes are done after one round, three after two
+        spans = labelled.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("_size"))
+        mixed = spans.filter((F.col("_lo") != F.col("_hi")) & (F.col("_size") > (3 if last else 2))).select("sig")
         open_entries = staged(labelled.join(mixed, "sig", "left_semi"), "open-entries")
         if last:
             sides = open_entries.join(node_rows.select("node", *(F.get("odd", F.lit(i)).alias(f"odd_{i}") for i in range(PARITIES // 64))), "node")
