@@ -143,9 +143,8 @@ _RESULT = r"/en/results/(\d+)/races/\d+/.+?/race-result/?$"
 _BASE = r"/en/results/(\d+)/races/\d+/[^/]+/?$"
 
 
-def _race_url(page_url: Column, season: Column, hrefs: Column) -> Column:
-    """The first result link of a row, else its first race link made one."""
-    targets = F.transform(hrefs, lambda h: links.absolute(page_url, h))
+def _race_url(season: Column, targets: Column) -> Column:
+    """The first result link of a row, else its first race link made one; ``targets`` are its absolute links."""
 
     def first(pattern: str) -> Column:
         return F.get(F.filter(targets, lambda u: F.regexp_extract(u, pattern, 1) == season), F.lit(0))
@@ -158,16 +157,19 @@ def season_races(pages: DataFrame) -> DataFrame:
     index = pages.filter(F.col("url").rlike(_INDEX))
     # an index is scraped again on every run: the newest copy counts
     newest = index.groupBy("url").agg(F.max(F.struct("scraped_at_utc", "page_id")).alias("_newest"))
-    index = index.join(newest.select("_newest.page_id"), "page_id", "left_semi")
+    # a merge join, not a broadcast: how many indexes a store holds is not known beforehand
+    index = index.join(newest.select("url", "_newest.page_id").hint("merge"), ["url", "page_id"])
     parsed = html.extract_tables(index, ["url", "scraped_at_utc"], with_links=True)
     listed = parsed.select("url", "scraped_at_utc", F.explode(_first_table(is_season_index)["rows"]).alias("row"))
     season = F.regexp_extract("url", _INDEX, 1)
     cells, row_links = F.col("row.cells"), F.col("row.links")
+    hrefs = F.concat(F.get(row_links, F.lit(0)), F.flatten(row_links))
+    listed = listed.withColumn("_targets", F.transform(hrefs, lambda h: links.absolute(F.col("url"), h)))
     found = listed.select(
         season.cast("int").alias("season"),
         F.coalesce(F.get(cells, F.lit(0)), F.lit("")).alias("gp"),
         F.get(cells, F.lit(1)).alias("date_text"),
-        _race_url(F.col("url"), season, F.concat(F.get(row_links, F.lit(0)), F.flatten(row_links))).alias("race_url"),
+        _race_url(season, F.col("_targets")).alias("race_url"),
         F.col("scraped_at_utc"),
     )
     races = found.withColumnsRenamed({"race_url": "url"}).withColumns(

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racelake.operators.lookups import attach
 from racelake.sources import html
 
 NOT_STORED = "no page stored for this URL"
@@ -32,13 +31,14 @@ def store(pages: DataFrame, name: str, buckets: int | None = None) -> DataFrame:
 def newest_copies(plan: DataFrame, pages: DataFrame) -> DataFrame:
     """The plan with the ``page_id`` of the newest stored copy of its ``page_url``, null without one.
 
-    Reads only the narrow columns of the store; copies of a URL are reduced on the map side.
+    Reads only the narrow columns of the store; copies of a URL are reduced on the map side. A plan is derived from
+    other tables, so its size is a guess (three rows of a plan may count as one, and as long as in a compressed file): the
+    join is a merge join, since a broadcast upon that guess would bring a plan as long as the store to the driver.
     """
     narrow = pages.select(F.col("url").alias("page_url"), "scraped_at_utc", "page_id")
-    asked = narrow.join(plan.select("page_url"), "page_url", "left_semi")
-    newest = F.max(F.struct("scraped_at_utc", "page_id")).alias("_newest")
-    ids = asked.groupBy("page_url").agg(newest).select("page_url", F.col("_newest.page_id").alias("page_id"))
-    return attach(plan, ids, ["page_url"])
+    newest = narrow.groupBy("page_url").agg(F.max(F.struct("scraped_at_utc", "page_id")).alias("_newest"))
+    found = plan.join(newest.hint("merge"), "page_url", "left")
+    return found.select(*plan.columns, F.col("_newest.page_id").alias("page_id"))
 
 
 def read_pages(
