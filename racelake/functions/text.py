@@ -59,8 +59,8 @@ def first_number(c: Column) -> Column:
 def number(c: Column, to: str = "double") -> Column:
     """Text as a number of type ``to``; null when it is not a number (or not a whole one)."""
     text = strip(c.cast("string"))
-    # the guard is added, not wrapped around, so that text and value are worked out once per row
-    value = text.try_cast("double") + F.when(text.rlike(_NUMBER), F.lit(0.0))
+    # words are out before the cast: a failed cast costs far more than the test; -0 becomes 0
+    value = F.when(text.rlike(_NUMBER), text).try_cast("double") + F.lit(0.0)
     if to in ("double", "float"):
         return value.cast(to)
     return F.when(value == F.rint(value), value.try_cast(to))

@@ -35,8 +35,13 @@ def parse_stored(plan: DataFrame, stored: DataFrame) -> DataFrame:
     return read_stored(plan, stored, {"event_title": html.title})
 
 
+def _normal_tables() -> Column:
+    """The tables of a page with their headers in normal form, made once for all tests of a table."""
+    return F.transform("tables", lambda t: F.struct(normal_headers(t["headers"]).alias("headers"), t["rows"].alias("rows")))
+
+
 def _first_table(recognised) -> Column:
-    return F.get(F.filter("tables", lambda t: recognised(normal_headers(t["headers"]))), F.lit(0))
+    return F.get(F.filter(_normal_tables(), lambda t: recognised(t["headers"])), F.lit(0))
 
 
 def _place(headers: Column, names: tuple[str, ...]) -> Column:
@@ -58,7 +63,7 @@ def rows_of(parsed: DataFrame, kind: str) -> DataFrame:
     """The bronze table of one kind of session."""
     layout = LAYOUTS[kind]
     page = parsed.filter(F.col("kind") == kind).withColumn("_table", _first_table(layout.recognised))
-    headers = normal_headers(F.col("_table.headers"))
+    headers = F.col("_table.headers")
     slug = links.parent_slug if kind == "race-result" else links.event_slug
     page = page.filter(F.col("_table").isNotNull()).select(
         "season",
@@ -182,11 +187,10 @@ def shows_sprint(no_results: Column) -> Column:
     """Whether a parsed page shows sprint results: a result table with at least one driver."""
 
     def filled(t: Column) -> Column:
-        headers = normal_headers(t["headers"])
-        place = _place(headers, ("driver",)) - 1
-        return is_sprint_table(headers) & F.exists(t["rows"], lambda r: F.get(r["cells"], place).isNotNull())
+        place = _place(t["headers"], ("driver",)) - 1
+        return F.exists(t["rows"], lambda r: F.get(r["cells"], place).isNotNull())
 
-    return ~no_results & F.exists("tables", filled)
+    return ~no_results & F.exists(_normal_tables(), lambda t: is_sprint_table(t["headers"]) & filled(t))
 
 
 def sprint_races(races: DataFrame, pages: DataFrame) -> DataFrame:

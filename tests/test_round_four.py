@@ -3,8 +3,13 @@
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from racelake.functions import durations
 from racelake.plans import bronze, weekend
+from racelake.plans.layouts import LAYOUTS
+from racelake.sources import html
+from racelake.sources.pages import newest_copies
 
 ROOT = "https://r.example.org/en/results"
 
@@ -20,8 +25,6 @@ def test_lookups_of_long_plans_do_not_broadcast(spark):
         F.col("id").alias("page_id"), F.concat(F.lit(f"{ROOT}/"), "id", F.lit("/races")).alias("url"), F.lit("<p>").alias("html"), F.lit("t").alias("scraped_at_utc"))
     assert not _broadcasts(bronze.season_races(pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 50))))
     plan = weekend.sprint_plan(races)
-    from racelake.sources.pages import newest_copies
-
     assert not _broadcasts(newest_copies(plan, pages))
 
 
@@ -32,3 +35,45 @@ def test_newest_copy_of_an_index_counts(spark):
         [(1, url, index.format(1), "t1"), (2, url, index.format(2), "t2"), (3, url, index.format(3), "t2"), (4, url, index.format(4), "t0")],
         "page_id long, url string, html string, scraped_at_utc string")
     assert [r["race_id"] for r in bronze.season_races(pages).collect()] == [3]
+
+
+def test_a_spanning_cell_is_read_once(monkeypatch):
+    reads, read = [], html._Cell.text
+    monkeypatch.setattr(html._Cell, "text", lambda cell: reads.append(cell) or read(cell))
+    page = "<table><tr><td>1</td><td>2</td></tr><tr><td colspan=1000>* note</td></tr></table>"
+    (table,) = html.parse_tables(page)
+    assert table["rows"][1]["cells"] == ["* note"] * 1000 and table["rows"][0]["cells"] == ["1", "2"] + [None] * 998
+    assert len(reads) == 1
+
+
+def test_rows_of_words_read_as_cell_by_cell():
+    page = (
+        "<table><tr><th>A</th> <th>B</th></tr><TR class=x><TD>1</TD>\n<td id='q'> b &amp; c </td></tr><tr><td>a  b</td><td></td></tr>"
+        "<tr><td>display</td><td>span</td></tr><tr><td style='display:none'>no</td><td>yes</td></tr><tr><td rowspan=2>r</td><td>s</td></tr>"
+        "<tr><td>t</td></tr><tr><td>u</td><td>v<table><tr><td>in</td></tr></table></td></tr></table>"
+    )
+    outer, inner = html.parse_tables(page)
+    assert outer["headers"] == ["A", "B"]
+    assert [r["cells"] for r in outer["rows"]] == [
+        ["1", "b & c"], ["a b", None], ["display", "span"], ["yes", None], ["r", "s"], ["r", "t"], ["u", "vin"]]
+    assert [r["cells"] for r in inner["rows"]] == [["in"]]
+
+
+def test_expressions_search_a_page_once(spark):
+    """What a page's title and tables are made from stands in the plan once, however often it is used."""
+    pages = spark.createDataFrame([("<!-- <h1>no</h1> --><h1>A <b>1</b> &amp; B</h1>",)], "html string")
+    titled = pages.select(html.title(F.col("html")).alias("t"))
+    assert titled.first()["t"] == "A 1 & B"
+    assert titled._jdf.queryExecution().optimizedPlan().toString().count("</script>") == 1
+    tables = spark.createDataFrame([], T.StructType([T.StructField("tables", html.TABLES)]))
+    plan = tables.select(bronze._first_table(LAYOUTS["race-result"].recognised).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
+def test_words_are_no_times_or_numbers(spark):
+    cells = {"+1:02.5s": 62.5, "DNF": None, "s": None, "++5ss": 5.0, "-0": 0.0, "1:2:3": 3723.0, "": None, "5 s": None, None: None}
+    rows = spark.createDataFrame([(x,) for x in cells], "c string")
+    got = [r[0] for r in rows.select(durations.seconds(F.col("c"))).collect()]
+    assert [None if x is None else repr(x) for x in got] == [None if x is None else repr(x) for x in cells.values()]
+    guarded = rows.select(durations.seconds(F.col("c")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(CASE WHEN" in guarded  # words never reach a cast
