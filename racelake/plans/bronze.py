@@ -65,7 +65,7 @@ def rows_of(parsed: DataFrame, kind: str) -> DataFrame:
     page = parsed.filter(F.col("kind") == kind).withColumn("_table", _first_table(layout.recognised))
     headers = F.col("_table.headers")
     slug = links.parent_slug if kind == "race-result" else links.event_slug
-    page = page.filter(F.col("_table").isNotNull()).select(
+    page = page.select(
         "season",
         "practice_no",
         F.col("page_url").alias("source_url"),
@@ -83,9 +83,9 @@ def rows_of(parsed: DataFrame, kind: str) -> DataFrame:
     if kind in _STRICT:
         positions = F.transform("_rows", lambda cells: cell(cells, "position"))
         page = page.withColumn("_winner", F.array_position(positions, "1"))
-    lines = page.select("*", F.posexplode("_rows").alias("_line", "_cells")).withColumns(
-        {column: cell(F.col("_cells"), column) for column in layout.headers}
-    )
+    # pages without the table go after the explode: a filter ahead of it, an inner explode's own too, would look for the table again
+    lines = page.select("*", F.posexplode_outer("_rows").alias("_line", "_cells")).filter(F.col("_line").isNotNull())
+    lines = lines.withColumns({column: cell(F.col("_cells"), column) for column in layout.headers})
     return conform(_DERIVED[kind](lines.withColumns(_driver())), layout.schema)
 
 
@@ -165,7 +165,8 @@ def season_races(pages: DataFrame) -> DataFrame:
     # a merge join, not a broadcast: how many indexes a store holds is not known beforehand
     index = index.join(newest.select("url", "_newest.page_id").hint("merge"), ["url", "page_id"])
     parsed = html.extract_tables(index, ["url", "scraped_at_utc"], with_links=True)
-    listed = parsed.select("url", "scraped_at_utc", F.explode(_first_table(is_season_index)["rows"]).alias("row"))
+    listed = parsed.select("url", "scraped_at_utc", F.explode_outer(_first_table(is_season_index)["rows"]).alias("row"))
+    listed = listed.filter(F.col("row").isNotNull())
     season = F.regexp_extract("url", _INDEX, 1)
     cells, row_links = F.col("row.cells"), F.col("row.links")
     hrefs = F.concat(F.get(row_links, F.lit(0)), F.flatten(row_links))

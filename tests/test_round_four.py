@@ -77,3 +77,14 @@ def test_words_are_no_times_or_numbers(spark):
     assert [None if x is None else repr(x) for x in got] == [None if x is None else repr(x) for x in cells.values()]
     guarded = rows.select(durations.seconds(F.col("c")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
     assert "split(CASE WHEN" in guarded  # words never reach a cast
+
+
+def test_a_pages_table_is_looked_for_once(spark):
+    fields = "season int, race_url string, kind string, practice_no int, page_url string, scraped_at_utc string, event_title string, error string"
+    schema = T.StructType([*T.StructType.fromDDL(fields).fields, T.StructField("tables", html.TABLES)])
+    row, heads = (["1", "5", "A B", "T", "9", "1:2.5", "3"], None), ["Pos.", "No.", "Driver", "Team", "Laps", "Time / Retired", "Pts."]
+    page = (2024, f"{ROOT}/2024/races/1/a/race-result", "race-result", None, "p", "t", "x", None)
+    parsed = spark.createDataFrame([(*page, [(["A"], []), (heads, [row, row])]), (*page, [(["A"], [row])]), (*page, [(heads, [])]), (*page, [])], schema)
+    rows = bronze.rows_of(parsed, "race-result")
+    assert rows.count() == 2
+    assert len(re.findall(r"array_contains\([^,]*headers, time / retired\)", rows._jdf.queryExecution().optimizedPlan().toString())) == 1
