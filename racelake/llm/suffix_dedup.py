@@ -187,7 +187,7 @@ class Keys:
 
 
 def _pack(codes: np.ndarray) -> bytes:
-    """Sorted keys as differences in as few bytes as the largest needs."""
+    """Sorted numbers as differences in as few bytes as the largest needs."""
     steps = np.diff(codes, prepend=np.uint64(0))
     used = max(1, (int(steps.max()).bit_length() + 7) // 8)
     planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :used]
@@ -202,6 +202,28 @@ def _unpack(data) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
+def _pack_keys(codes: np.ndarray) -> bytes:
+    """Sorted keys, some at least: their low bytes, and a bitmap in which key i stands at its high part plus i.
+
+    As many low bytes as make the whole smallest: about one and a half bits a key beside them.
+    """
+    n, top = len(codes), int(codes[-1])
+    low = min(range(8), key=lambda size: 8 * size * n + (top >> 8 * size))
+    marks = np.zeros(n + (top >> 8 * low), np.uint8)
+    marks[(codes >> np.uint64(8 * low)).astype(np.int64) + np.arange(n)] = 1
+    planes = codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :low]
+    return bytes([low]) + n.to_bytes(4, "little") + np.ascontiguousarray(planes).tobytes() + np.packbits(marks).tobytes()
+
+
+def _unpack_keys(data) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    low, n = int(raw[0]), int.from_bytes(raw[1:5].tobytes(), "little")
+    codes = np.zeros((n, 8), np.uint8)
+    codes[:, :low] = raw[5 : 5 + n * low].reshape(n, low)
+    high = np.flatnonzero(np.unpackbits(raw[5 + n * low :])) - np.arange(n)
+    return codes.view("<u8").ravel() | (high.astype(np.uint64) << np.uint64(8 * low))
+
+
 def _pack_ids(ids: np.ndarray) -> bytes:
     """A document id per key: the distinct ones as sorted differences, then places among them in as few bits as they need."""
     table, place = np.unique(ids, return_inverse=True)
@@ -283,7 +305,7 @@ def _ask_samples(width: int, buckets: int):
         for batch in batches:
             for number, block, _, _ in _blocks_of(batch, width):
                 _, keys = _sample_keys(block, buckets)
-                rows = [(b, _pack(keys.code[s])) for b, s in keys.rows()]
+                rows = [(b, _pack_keys(keys.code[s])) for b, s in keys.rows()]
                 yield _emit([number] * len(rows), [r[0] for r in rows], [r[1] for r in rows], [None] * len(rows), [None] * len(rows))
 
     return run
@@ -297,7 +319,7 @@ def _suffix_keys(block: Block, buckets: int, sample_answers: list[bytes]) -> tup
 def _suffix_questions(keys: Keys) -> Iterator[tuple[int, bytes, bytes, bytes]]:
     """(bucket, keys, checks, first documents) of a block; only the ids that a row needs go with it."""
     for b, s in keys.rows():
-        yield b, _pack(keys.code[s]), keys.check[s].astype("<u4").tobytes(), _pack_ids(keys.least[s])
+        yield b, _pack_keys(keys.code[s]), keys.check[s].astype("<u4").tobytes(), _pack_ids(keys.least[s])
 
 
 def _ask_suffixes(width: int, buckets: int):
@@ -319,7 +341,7 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
     Without documents the bit says that another block holds the key; with them, that a smaller document does.
     """
     blocks = rows.column("block").to_pylist()
-    keys = [_unpack(k.as_buffer()) for k in rows.column("keys").combine_chunks()]
+    keys = [_unpack_keys(k.as_buffer()) for k in rows.column("keys").combine_chunks()]
     sizes = [len(k) for k in keys]
     whole = np.concatenate(keys)
     ranked = not rows.column("docs").null_count
