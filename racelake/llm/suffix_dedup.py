@@ -203,25 +203,34 @@ def _unpack(data) -> np.ndarray:
 
 
 def _pack_keys(codes: np.ndarray) -> bytes:
-    """Sorted keys, some at least: their low bytes, and a bitmap in which key i stands at its high part plus i.
+    """Sorted keys, some at least: their low bits, and a bitmap in which key i stands at its high part plus i.
 
-    As many low bytes as make the whole smallest: about one and a half bits a key beside them.
+    As many low bits as make the whole smallest: about one and a half bits a key beside them.
     """
-    n, top = len(codes), int(codes[-1])
-    low = min(range(8), key=lambda size: 8 * size * n + (top >> 8 * size))
-    marks = np.zeros(n + (top >> 8 * low), np.uint8)
-    marks[(codes >> np.uint64(8 * low)).astype(np.int64) + np.arange(n)] = 1
-    planes = codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :low]
-    return bytes([low]) + n.to_bytes(4, "little") + np.ascontiguousarray(planes).tobytes() + np.packbits(marks).tobytes()
+    n, most = len(codes), int(codes[-1])
+    low = min(range(64), key=lambda bits: bits * n + (most >> bits))
+    size, rest = divmod(low, 8)
+    marks = np.zeros(n + (most >> low), np.uint8)
+    marks[(codes >> np.uint64(low)).astype(np.int64) + np.arange(n)] = 1
+    raw = codes.astype("<u8").view(np.uint8).reshape(-1, 8)
+    odd = raw[:, size, None] >> np.arange(rest, dtype=np.uint8) & np.uint8(1)
+    return bytes([low]) + n.to_bytes(4, "little") + b"".join(
+        (np.ascontiguousarray(raw[:, :size]).tobytes(), np.packbits(odd).tobytes(), np.packbits(marks).tobytes())
+    )
 
 
 def _unpack_keys(data) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     low, n = int(raw[0]), int.from_bytes(raw[1:5].tobytes(), "little")
+    size, rest = divmod(low, 8)
     codes = np.zeros((n, 8), np.uint8)
-    codes[:, :low] = raw[5 : 5 + n * low].reshape(n, low)
-    high = np.flatnonzero(np.unpackbits(raw[5 + n * low :])) - np.arange(n)
-    return codes.view("<u8").ravel() | (high.astype(np.uint64) << np.uint64(8 * low))
+    edge, end = 5 + n * size, 5 + n * size + -(-n * rest // 8)
+    codes[:, :size] = raw[5:edge].reshape(n, size)
+    if rest:
+        odd = np.unpackbits(raw[edge:end], count=n * rest).reshape(n, rest)
+        codes[:, size] = odd @ (1 << np.arange(rest, dtype=np.uint8))
+    high = np.flatnonzero(np.unpackbits(raw[end:])) - np.arange(n)
+    return codes.view("<u8").ravel() | (high.astype(np.uint64) << np.uint64(low))
 
 
 def _pack_ids(ids: np.ndarray) -> bytes:
