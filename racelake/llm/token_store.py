@@ -42,7 +42,7 @@ WIDTHS = (8, 8, 16)
 BLOCK = 64
 """bytes of bitmap per entry of the rank directory"""
 SEGMENT = 1 << 18
-KNOWN_PIECES = 800_000
+KNOWN_PIECES = 2_000_000
 """text pieces whose ids a Python process remembers; sorting takes memory beside it"""
 
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
