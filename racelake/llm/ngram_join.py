@@ -8,10 +8,12 @@ there are hash classes, so two of these fall into the same class. Pairs of frequ
 one class are therefore the index of frequent tokens. Sets too small for the extension are indexed by every
 prefix token; sets that can be similar to such a small one are indexed both ways.
 
-Nodes found under one index entry are compared with one of them, the hub, first. Comparing joins most
-copies of a group to one component; what remains are pairs of nodes in different components, compared
-one by one, where parities of their tokens do not rule them out within the join. So a large group of near copies costs its size, not its square, and every pair of nodes is
-either compared, or in one component already, or impossible by length or position.
+Nodes found under one index entry are compared with one of them, the hub, first: with the smallest set, the largest one,
+and then, under large entries and as long as that finds links, with hubs drawn anew in every round, of which a node takes
+the one most like it. Comparing joins most copies of a group to one component, also where many of its pairs are just below
+the threshold; what remains are pairs of nodes in different components, compared one by one, where parities of their
+tokens do not rule them out within the join. So every pair of nodes is either compared, or in one component already, or
+impossible by length or position.
 
 Frequencies come from a count sketch of fixed size over all texts. A sketch can only overestimate, which
 changes the order of tokens but no result: any order that all texts share is right.
@@ -44,6 +46,12 @@ RARE = 64
 PARITIES = 1024
 MARKS = 1 << 26
 """bits of the bitmap that marks rows whose sets are wanted"""
+TURNS = 8
+"""rounds at most: one with the largest set as hub, then drawn hubs, then all pairs that are left"""
+LARGE = 8
+"""nodes up to which all open pairs of an entry are compared without rounds of drawn hubs"""
+WORTH = 0.02
+"""links per open node of large entries that a round of drawn hubs finds if another one is worth it"""
 PARTS = 16
 """rows the sketch is summed up in"""
 _BATCH = 256
@@ -350,6 +358,39 @@ def _hub_pairs(entries: DataFrame, hub: Column, percent: int) -> DataFrame:
     return rows.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
+def _sided(rows: DataFrame, side: str) -> DataFrame:
+    return rows.select("sig", *(F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "sig"))
+
+
+def _open(percent: int) -> Column:
+    """Whether rows a and b of an entry are in different components and their parities, lengths and places allow a link.
+
+    All conditions are on the two rows, so Spark tests them in the join, which gives likely pairs only.
+    """
+    alike = _apart("a_", "b_") <= _most_apart(F.col("a_n") + F.col("b_n"), percent)
+    return (F.col("a_label") != F.col("b_label")) & alike & _possible(F.col("a_n"), F.col("b_n"), F.col("a_place"), F.col("b_place"), percent)
+
+
+def _nearest_hubs(entries: DataFrame, odds: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Every row of an entry meets one row drawn from it; of all it meets, a node keeps the one whose parities differ least.
+
+    A node stands under many entries, so it meets many rows of its group, and a group's components join quickly. What the
+    draw misses is found by the last turn, which takes all pairs.
+    """
+    drawn = entries.withColumn("drawn", F.xxhash64("sig", "node", F.lit(turn)))
+    hubs = drawn.join(drawn.groupBy("sig").agg(F.min("drawn").alias("_least")), "sig").filter("drawn = _least").drop("drawn", "_least")
+    met = _sided(entries.join(odds, "node"), "a").join(_sided(hubs.join(odds, "node"), "b"), "sig").filter(_open(percent))
+    nearest = met.groupBy("a_node").agg(F.min(F.struct(_apart("a_", "b_").alias("apart"), F.col("b_node"))).alias("hub"))
+    return nearest.select(F.least("a_node", "hub.b_node").alias("a"), F.greatest("a_node", "hub.b_node").alias("b")).distinct()
+
+
+def _likely_pairs(entries: DataFrame, odds: DataFrame, percent: int) -> DataFrame:
+    """All pairs of rows of an entry that are still open."""
+    sides = entries.join(odds, "node")
+    found = _sided(sides, "a").join(_sided(sides, "b"), "sig").filter((F.col("a_node") < F.col("b_node")) & _open(percent))
+    return found.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
 def _row_key() -> Column:
     """A key by which equal rows (doc_id, text), and practically only these, are the same."""
     return F.xxhash64(F.col("doc_id").cast("long"), "text")
@@ -387,27 +428,31 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     tested = staged(_hub_pairs(entries, F.min(F.struct("n", "node", "place")), percent), "pairs")
     links = linked(tested)
-    for last in (False, True):
+    gained = None  # by the last round of drawn hubs
+    for turn in range(1, TURNS + 1):
         labels = components(links)
         labelled = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # a hub is compared with all of its entry: two nodes are done after one round, three after two
-        spans = labelled.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("_size"))
-        mixed = spans.filter((F.col("_lo") != F.col("_hi")) & (F.col("_size") > (3 if last else 2))).select("sig")
-        open_entries = staged(labelled.join(mixed, "sig", "left_semi"), "open-entries")
-        if last:
-            sides = open_entries.join(node_rows.select("node", *(F.get("odd", F.lit(i)).alias(f"odd_{i}") for i in range(PARITIES // 64))), "node")
-            a, b = (sides.select("sig", *(F.col(c).alias(f"{s}_{c}") for c in sides.columns if c != "sig")) for s in "ab")
-            # all conditions are on the two rows, so Spark tests them in the join, which gives likely pairs only
-            found = a.join(b, "sig").filter(
-                (F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node"))
-                & (_apart("a_", "b_") <= _most_apart(F.col("a_n") + F.col("b_n"), percent))
-                & _possible(F.col("a_n"), F.col("b_n"), F.col("a_place"), F.col("b_place"), percent)
-            ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+        counts = labelled.groupBy("sig", "label").agg(F.count("*").alias("_rows"))
+        spans = counts.groupBy("sig").agg(F.count("*").alias("_labels"), F.sum("_rows").alias("_size"))
+        # a hub is compared with all of its entry: two nodes are done after one turn, three after two
+        mixed = spans.filter((F.col("_labels") > 1) & (F.col("_size") > (2 if turn == 1 else 3))).select("sig", (F.col("_size") > LARGE).alias("large"))
+        open_entries = staged(labelled.join(mixed, "sig"), "open-entries")
+        last = turn == TURNS
+        if turn == 1:
+            found = _hub_pairs(open_entries.drop("label", "large"), F.max(F.struct("n", "node", "place")), percent)
         else:
-            found = _hub_pairs(open_entries.drop("label"), F.max(F.struct("n", "node", "place")), percent)
+            large = open_entries.filter("large")
+            opened = large.agg(F.count_distinct("node")).first()[0]
+            last = last or not opened or gained is not None and gained < WORTH * opened
+            odds = node_rows.select("node", *(F.get("odd", F.lit(i)).alias(f"odd_{i}") for i in range(PARITIES // 64)))
+            found = _likely_pairs(open_entries, odds, percent) if last else _nearest_hubs(large, odds, turn, percent)
         pairs = staged(found.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
-        links = links.unionByName(linked(pairs, close=last))
+        new = linked(pairs, close=turn > 1)
+        links = links.unionByName(new)
+        if last:
+            break
+        gained = new.count() if turn > 1 else None
     labels = components(links)
     named_nodes = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = named_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
