@@ -246,10 +246,15 @@ def _sets_of(pairs: DataFrame, node_rows: DataFrame, rows: DataFrame, k: int) ->
 
 
 def _repeated_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, n, node): those under an entry that holds two nodes or more, each once.
+    """Of rows sorted by (sig, n, node): those under an entry that holds two nodes or more, each once, and whether it holds just two.
 
-    Reads along; what is held back is one batch and, of the entry at its end, nothing but one row.
+    Reads along; what is held back is one batch and, of the entry at its end, nothing but one row. An entry that goes
+    beyond its batch is not said to hold just two.
     """
+
+    def marked(rows: pa.RecordBatch, two: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(two)], names=[*rows.schema.names, "two"])
+
     held: pa.RecordBatch | None = None  # the first row of an entry that may yet turn out to be shared
     last: tuple[int, int] | None = None
     for batch in batches:
@@ -260,11 +265,13 @@ def _repeated_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         copy = same_sig & np.concatenate([[last is not None and node[0] == last[1]], node[1:] == node[:-1]])
         joins = same_sig & ~copy  # another node under the entry of the row before
         entry = np.cumsum(~same_sig)  # 0: goes on from the batch before
-        counted = np.bincount(entry, weights=joins, minlength=entry[-1] + 1) > 0
+        others = np.bincount(entry, weights=joins, minlength=entry[-1] + 1)
+        counted = others > 0
+        two = (others == 1)[entry] & (entry > 0) & (entry < entry[-1])
         keep = counted[entry] & ~copy
         carried = entry[0] == 0
         if carried and held is not None and counted[0]:
-            yield held
+            yield marked(held, np.zeros(1, bool))
             held = None
         if carried and held is None:
             keep |= (entry == 0) & ~copy  # its entry was shared already
@@ -273,7 +280,7 @@ def _repeated_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             held = None if counted[entry[-1]] else batch.slice(first, 1)
         last = int(sig[-1]), int(node[-1])
         if keep.any():
-            yield batch.filter(pa.array(keep))
+            yield marked(batch.filter(pa.array(keep)), two[keep])
 
 
 def _possible(a_n: Column, b_n: Column, a_place: Column, b_place: Column, percent: int) -> Column:
@@ -415,7 +422,8 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     index = rows.select("text").mapInArrow(tidy(_index(k, percent, classes)), "sig long, n int, node long, place int")
     ordered = index.repartition(F.col("sig")).sortWithinPartitions("sig", "n", "node")
-    entries = staged(ordered.mapInArrow(tidy(_repeated_entries), index.schema), "shared-entries")
+    shared = staged(ordered.mapInArrow(tidy(_repeated_entries), "sig long, n int, node long, place int, two boolean"), "shared-entries")
+    entries = shared.drop("two")
 
     described_nodes = described.filter("n > 0").groupBy("node")
     node_rows = staged(
@@ -429,6 +437,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
     tested = staged(_hub_pairs(entries, F.min(F.struct("n", "node", "place")), percent), "pairs")
     links = linked(tested)
     gained = None  # by the last round of drawn hubs
+    entries = shared.filter("not two").drop("two")  # two nodes have been compared
     for turn in range(1, TURNS + 1):
         labels = components(links)
         labelled = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -437,6 +446,7 @@ def join(docs: DataFrame, k: int, percent: int) -> DataFrame:
         # a hub is compared with all of its entry: two nodes are done after one turn, three after two
         mixed = spans.filter((F.col("_labels") > 1) & (F.col("_size") > (2 if turn == 1 else 3))).select("sig", (F.col("_size") > LARGE).alias("large"))
         open_entries = staged(labelled.join(mixed, "sig"), "open-entries")
+        entries = open_entries.select(*entries.columns)  # components only grow: an entry that is done stays done
         last = turn == TURNS
         if turn == 1:
             found = _hub_pairs(open_entries.drop("label", "large"), F.max(F.struct("n", "node", "place")), percent)
