@@ -52,7 +52,7 @@ def weekend_job(t: Tables):
         staging.table_name("pages"),
     )
     # the only step with markup or Python; all tables, notes and errors are taken from its result
-    parsed = staging.staged(bronze.parse_stored(plan, store), "parsed-pages")
+    parsed = staging.staged(bronze.parse_stored(plan, store), "parsed-pages", ["kind"])
     tables = {}
     for kind in KINDS:  # bronze tables, promoted twice into a base of seasons: the second time adds nothing
         rows = staging.staged(bronze.rows_of(parsed, kind), kind)

@@ -11,7 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from racelake import schemas
-from racelake.functions import text
 
 
 class Layout(NamedTuple):
@@ -23,7 +22,9 @@ class Layout(NamedTuple):
 
 
 def normal_headers(headers: Column) -> Column:
-    return F.transform(headers, text.normal)
+    """Headers as ``text.normal`` has them, all at once: read from a page they hold no line feeds, which keep them apart."""
+    joined = F.regexp_replace(F.array_join(headers, "\n"), r"[\s\u00A0&&[^\n]]+", " ")
+    return F.split(F.lower(F.trim(joined)), " ?\n ?", -1)
 
 
 def _has(headers: Column, *names: str) -> Column:

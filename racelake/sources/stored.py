@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from racelake.operators import changes
-from racelake.operators.lookups import having, promote
+from racelake.operators.lookups import attach, having, promote
 from racelake.operators.partitions import in_partitions, partition_values
+from racelake.sources.staging import writing
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -149,7 +150,15 @@ def promote_into(spark: SparkSession, name: str, incoming: DataFrame, keys: Sequ
     """Append the incoming rows whose key the table does not hold yet.
 
     A key belongs to one partition (a race to its season), so the table's keys are read in the partitions of
-    the incoming rows only. ``incoming`` is read several times: give a stored table, or a cheap one.
+    the incoming rows only. ``incoming`` is read several times: give a stored table, or a cheap one. First the keys
+    alone are compared: if all are new, or none is, as on a first run and its repetition, no row is moved for a join.
     """
-    fresh = promote(incoming, base_of(spark, name, incoming), keys)
-    fresh.select(*spark.table(name).columns).write.insertInto(name)
+    base = base_of(spark, name, incoming)
+    held = base.select(*keys).distinct().withColumn("_held", F.lit(1))
+    seen = attach(incoming.select(*keys).distinct(), held, keys, null_safe=True)
+    known, all_keys = seen.agg(F.count("_held"), F.count(F.lit(1))).first()
+    if known == all_keys:
+        return
+    fresh = promote(incoming, base, keys) if known else incoming
+    with writing(spark):
+        fresh.select(*spark.table(name).columns).write.insertInto(name)
