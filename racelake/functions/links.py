@@ -74,7 +74,9 @@ def absolute(page_url: Column, href: Column) -> Column:
     has_path = F.length(page) > F.length(origin(page_url))
     folder = F.when(has_path, F.regexp_replace(page, r"/[^/]*$", "/")).otherwise(F.concat(page, F.lit("/")))
     return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        # most links first, with least work: a path without a segment that begins with a dot
+        F.when(href.startswith("/") & ~href.startswith("//") & ~href.contains("/."), F.concat(origin(page_url), href))
+        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(page_url, r"^[^:]*:", 0), href))
         .when(href.startswith("/"), _resolved(F.concat(origin(page_url), href)))
         .when(href == "", page_url)

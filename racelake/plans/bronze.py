@@ -169,8 +169,7 @@ def season_races(pages: DataFrame) -> DataFrame:
     listed = listed.filter(F.col("row").isNotNull())
     season = F.regexp_extract("url", _INDEX, 1)
     cells, row_links = F.col("row.cells"), F.col("row.links")
-    hrefs = F.concat(F.get(row_links, F.lit(0)), F.flatten(row_links))
-    listed = listed.withColumn("_targets", F.transform(hrefs, lambda h: links.absolute(F.col("url"), h)))
+    listed = listed.withColumn("_targets", F.transform(F.flatten(row_links), lambda h: links.absolute(F.col("url"), h)))
     found = listed.select(
         season.cast("int").alias("season"),
         F.coalesce(F.get(cells, F.lit(0)), F.lit("")).alias("gp"),
