@@ -198,6 +198,8 @@ def sprint_races(races: DataFrame, pages: DataFrame) -> DataFrame:
 
     ``races`` is read once for the plan; give a table if it is costly.
     """
+    # pages of other kinds are left out ahead of the look-up, which would move their markup
+    pages = pages.filter(F.substring_index("url", "/", -1).isin(*weekend.SPRINT_KINDS))
     empty = {"no_results": lambda markup: text.mentions(markup, "no results available")}
     parsed = read_pages(weekend.sprint_plan(races), pages, empty, with_missing=False)
     return parsed.filter(F.col("error").isNull()).groupBy("race_url").agg(has_any(shows_sprint(F.col("no_results"))).alias("has_sprint"))

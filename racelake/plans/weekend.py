@@ -67,5 +67,6 @@ def session_plan(races: DataFrame) -> DataFrame:
 def sprint_plan(races: DataFrame) -> DataFrame:
     """The pages that would exist if every race had a sprint."""
     kind = F.explode(F.array(*map(F.lit, SPRINT_KINDS))).alias("kind")
-    asked = races.filter(F.col("url").isNotNull()).select(F.col("url").alias("race_url"), kind)
-    return asked.distinct().withColumn("page_url", links.session_url(F.col("race_url"), F.col("kind")))
+    asked = races.filter(F.col("url").isNotNull()).select(F.col("url").alias("race_url")).distinct()
+    asked = asked.withColumn("_base", links.session_base(F.col("race_url"))).select("race_url", "_base", kind)
+    return asked.select("race_url", "kind", links.session_of(F.col("race_url"), F.col("_base"), F.col("kind")).alias("page_url"))

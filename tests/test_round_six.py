@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from racelake.functions import links
+from racelake.plans import bronze, weekend
 from racelake.plans.layouts import normal_headers
 from racelake.sources import staging, stored
 from racelake.sources.staging import _WRITING
@@ -50,3 +52,24 @@ def test_headers_of_a_table_are_made_normal_at_once(spark):
     rows = [["Pos.", "Time  / \t Retired", ""], [" A ", "", "B"], ["", "x"], ["É\tÜ"], ["a b c"]]
     got = [r[0] for r in spark.createDataFrame([(r,) for r in rows], "h array<string>").select(normal_headers(F.col("h"))).collect()]
     assert got == [["pos.", "time / retired", ""], ["a", "", "b"], ["", "x"], ["é ü"], ["a b c"]]
+
+
+def test_sprint_pages_are_planned_per_race_and_looked_up_alone(spark):
+    root = "https://r.example.org/en/results/2024/races"
+    races = spark.createDataFrame([(f"{root}/1/a/race-result",)] * 3 + [("",), (None,)], "url string")
+    plan = weekend.sprint_plan(races)
+    assert sorted((r["race_url"], r["kind"], r["page_url"]) for r in plan.filter("race_url != ''").collect()) == sorted(
+        (f"{root}/1/a/race-result", k, f"{root}/1/a/{k}") for k in weekend.SPRINT_KINDS)
+    assert [r["page_url"] for r in plan.filter("race_url = ''").collect()] == [None] * 3
+    shown = "<table><tr><th>Pos.</th><th>Driver</th><th>Laps</th></tr><tr><td>1</td><td>A</td><td>9</td></tr></table>"
+    found = spark.createDataFrame([(1, f"{root}/1/a/sprint-grid", shown, "t"), (2, f"{root}/1/a/race-result", shown, "t")], "page_id long, url string, html string, scraped_at_utc string")
+    flags = bronze.sprint_races(races, found)
+    assert [tuple(r) for r in flags.collect()] == [(f"{root}/1/a/race-result", True)]
+    assert flags._jdf.queryExecution().optimizedPlan().toString().count("IN (sprint-results,sprint-qualifying,sprint-grid)") >= 2
+
+
+def test_plain_links_skip_the_steps_of_dotted_ones(spark):
+    cases = {"/a/b?x=1": "https://h.org/a/b?x=1", "/a/../b": "https://h.org/b", "/a/.": "https://h.org/a/", "/.x/b": "https://h.org/.x/b", "//o.org/p": "https://o.org/p",
+             "mailto:x": "mailto:x", "c": "https://h.org/s/c", "/a?b=/../c": "https://h.org/a?b=/../c", "": "https://h.org/s/t"}
+    rows = spark.createDataFrame([("https://h.org/s/t", h) for h in cases], "page string, href string")
+    assert [r[0] for r in rows.select(links.absolute(F.col("page"), F.col("href"))).collect()] == list(cases.values())
