@@ -13,18 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racelake.sources import html
+from racelake.sources.staging import writing
 
 NOT_STORED = "no page stored for this URL"
 
 
 def store(pages: DataFrame, name: str, buckets: int | None = None) -> DataFrame:
-    """Pages as a table bucketed and sorted by URL, one file a bucket.
+    """Pages as a table bucketed by URL, one file a bucket.
 
     The default is a bucket per shuffle partition: fewer than a join's partitions would make Spark deal the pages out anew.
+    The pages of a bucket are not sorted: a join sorts what it reads in any case.
     """
     buckets = buckets or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pages.repartition(buckets, "url")
-    dealt.write.bucketBy(buckets, "url").sortBy("url").saveAsTable(name)
+    with writing(pages.sparkSession):
+        dealt.write.bucketBy(buckets, "url").option("compression", "zstd").saveAsTable(name)
     return pages.sparkSession.table(name)
 
 
